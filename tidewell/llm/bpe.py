@@ -24,10 +24,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LONG, MEMO, ROWS, NONE = 256, 1_000_000, 256, 1 << 62
+LONG, MEMO, ROWS, NONE = 256, 600_000, 256, 1 << 62
 # The split pattern of the vocabulary, with Unicode's White_Space spelled out.
 SPACE = r"\t-\r \x85\xa0  -     　"
 PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+RARE = "\t\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 UNITS = rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 
 
@@ -61,12 +62,16 @@ class Vocabulary:
         for token, i in special.items():
             spelled[i] = token.encode()
         self.special = special
+        self.first_ids, self.made_ids = np.array(self.first), np.array(self.made)
+        keys = np.array([*self.ranks], np.int64)
+        self.pair_ranks = keys.argsort()
+        self.pair_keys = keys[self.pair_ranks]
         self.lengths = np.array([len(s) for s in spelled], np.int64)
         self.starts = np.concatenate([[0], self.lengths.cumsum()[:-1]])
         self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
         self.splits = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.units, self.pieces = re.compile(UNITS), regex.compile(PIECES)
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict = {}
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one piece, by scans of its rank array."""
@@ -108,26 +113,87 @@ class Vocabulary:
             offer(i)
         return [p for p, alive in zip(parts, live, strict=True) if alive]
 
-    def _unit(self, unit: str) -> bytes:
-        ids = [i for piece in self.pieces.findall(unit) for i in self.merge(piece.encode())]
-        packed = np.array(ids, "<u4").tobytes()
-        if len(unit) <= 64:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[unit] = packed
-        return packed
+    def merge_many(self, words: list[bytes]) -> list[np.ndarray]:
+        """merge() of many pieces at once: a row of parts and a row of ranks for each, side by side."""
+        out: list = [None] * len(words)
+        sizes = np.array([len(w) for w in words])
+        for low, high in ((0, 8), (8, 12), (12, 18), (18, 32), (32, 64)):
+            rows = np.flatnonzero((sizes > low) & (sizes <= high))
+            for at in range(0, len(rows), 8192):
+                self._merge_rows([words[i] for i in rows[at : at + 8192]], rows[at : at + 8192], high, out)
+        for i in np.flatnonzero((sizes > 64) | (sizes == 0)):
+            out[i] = np.array(self.merge(words[i]), "<u4")
+        return out
+
+    def _merge_rows(self, words: list[bytes], at: np.ndarray, width: int, out: list) -> None:
+        n = np.array([len(w) for w in words])
+        parts = np.full((len(words), width + 1), -1, np.int64)
+        parts[np.arange(width + 1) < n[:, None]] = self.first_ids[np.frombuffer(b"".join(words), np.uint8)]
+        ranks = self.rank_of(parts[:, :-1], parts[:, 1:])
+        cols = np.arange(width)
+        while len(at):
+            i = ranks.argmin(1)
+            least = ranks[np.arange(len(at)), i]
+            over = least == NONE
+            if over.any():
+                for k in np.flatnonzero(over):
+                    out[at[k]] = parts[k, : n[k]].astype("<u4")
+                go = ~over
+                parts, ranks, at, n, i, least = parts[go], ranks[go], at[go], n[go], i[go], least[go]
+                if not len(at):
+                    return
+            each = np.arange(len(at))
+            new = self.made_ids[least]
+            parts[each, i] = new
+            left = cols + (cols > i[:, None])  # the boundary after i goes
+            parts[:, :-1] = np.take_along_axis(parts, left, 1)
+            parts[:, -1] = -1
+            ranks[:, :-1] = np.take_along_axis(ranks, left[:, :-1], 1)
+            ranks[:, -1] = NONE
+            n -= 1
+            ranks[each, i] = self.rank_of(new, parts[each, i + 1])
+            back = np.flatnonzero(i)
+            ranks[back, i[back] - 1] = self.rank_of(parts[back, i[back] - 1], new[back])
+
+    def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pair_keys, pair), len(self.pair_keys) - 1)
+        return np.where((self.pair_keys[at] == pair) & (b >= 0), self.pair_ranks[at], NONE)
+
+    def _learn(self, units: set[str]) -> None:
+        """Put the ids of units into the memo."""
+        units_, pieces = list(units), [self.pieces.findall(u) for u in units]
+        words = list({p for own in pieces for p in own})
+        ids = dict(zip(words, (x.tobytes() for x in self.merge_many([w.encode() for w in words])), strict=True))
+        self.memo.update(zip(units_, (b"".join([ids[p] for p in own]) for own in pieces), strict=True))
+
+    def _cut(self, text: str) -> list[str]:
+        """Units of a text: cut before each white space that follows text."""
+        if "\0" in text or any(c in text for c in RARE) or any(c in text for c in ("  ", " \n", "\n ", "\n\n")):
+            return self.units.findall(text)
+        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """For each text its ids as little-endian unsigned 32-bit integers."""
+        cut = []
+        for text in texts:
+            own: list = []
+            for k, part in enumerate(self.splits.split(text) if self.splits else [text]):
+                own += [self.special[part]] if k % 2 else self._cut(part)
+            cut.append(own)
+        seen = set().union(*cut)
+        fixed = {x: np.array([x], "<u4").tobytes() for x in seen if isinstance(x, int)}
+        seen -= fixed.keys()
+        new = seen - self.memo.keys()
+        if len(self.memo) + len(new) > MEMO:
+            self.memo.clear()
+            new = seen
+        self._learn(new)
+        self.memo.update(fixed)
+        return [b"".join(map(self.memo.__getitem__, own)) for own in cut]
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        out, memo = [], self.memo
-        for k, part in enumerate(self.splits.split(text) if self.splits else [text]):
-            if k % 2:
-                out.append(np.array([self.special[part]], "<u4").tobytes())
-                continue
-            for unit in self.units.findall(part):
-                got = memo.get(unit)
-                out.append(self._unit(unit) if got is None else got)
-        return b"".join(out)
+        return self.encode_many([text])[0]
 
     def decode(self, packed: bytes) -> str:
         ids = np.frombuffer(packed, "<u4").astype(np.int64)
@@ -157,7 +223,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 b = whole.slice(at, ROWS)
-                packed = [v.encode(t) for t in b.column(b.num_columns - 1).to_pylist()]
+                packed = v.encode_many(b.column(b.num_columns - 1).to_pylist())
                 out = [*b.columns[:-1], pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary()), pa.array([v.decode(p) for p in packed], pa.string())]
                 yield pa.RecordBatch.from_arrays(out, names=[*keep, *new])
 
