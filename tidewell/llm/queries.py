@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing
+from . import bpe, chat, exact_dedup, html_text, mixing, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,3 +71,35 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return coded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query(r"""
+with t as (select conv_id // 2 as pair_id, conv_id % 2 = 0 as chosen, coalesce(turn, 9223372036854775807) as tn, turn, role, text from conversations where conv_id is not null),
+s as (select pair_id, tn, role, text, sum(case when chosen then 1 else -1 end) as more from t group by all),
+c as (select pair_id, min(case when more <> 0 then tn end) as cut from s group by pair_id),
+j as (select t.*, (c.cut is null or t.tn < c.cut) as common, coalesce(role, 'unknown') as r,
+             '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10) as rendered
+      from t join c using (pair_id))
+select pair_id, case when common then 'prompt' when chosen then 'chosen' else 'rejected' end as part, turn, r as role, rendered,
+       cast(length(rendered) as bigint) as n_chars, case when not common and r = 'assistant' then 1 else 0 end as loss
+from j where not common or chosen""")
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.preference_rows(table(spark, sf_dir, "conversations"))
+
+
+@query("""
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v, len(embedding) as dim from embeddings
+           where vec_id is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0),
+s as (select q.vec_id as query_id, v.vec_id, cast(list_inner_product(q.v, v.v) as bigint) as score
+      from v q join v on q.dim = v.dim and q.vec_id <> v.vec_id where q.vec_id % 50 = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from s qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5""")
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
