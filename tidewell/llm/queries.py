@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, html_text, mixing, quality, topk
+from . import bpe, chat, exact_dedup, html_text, mixing, quality, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,3 +108,19 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+     s as (select doc_id, ws, unnest(range(1, len(ws) - 48)) as i from w where len(ws) >= 50),
+     h as (select doc_id, i, md5(array_to_string(ws[i : i + 49], ' ')) as h from s),
+     f as (select h, min(doc_id) as first_doc from h group by h),
+     r as (select distinct doc_id, unnest(range(i, i + 50)) as pos from h join f using (h) where f.first_doc < h.doc_id),
+     k as (select w.doc_id, w.i, w.word, r.pos is not null as gone
+           from (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as i from w) as w left join r on r.doc_id = w.doc_id and r.pos = w.i),
+     a as (select doc_id, cast(sum(gone::int) as bigint) as n_removed, string_agg(word, ' ' order by i) filter (not gone) as kept from k group by doc_id)
+select w.doc_id, cast(len(w.ws) as bigint) as n_words, coalesce(a.n_removed, 0) as n_removed, sha256(coalesce(a.kept, '')) as kept_sha256
+from w left join a using (doc_id)""")
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
