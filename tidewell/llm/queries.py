@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, html_text, mixing, quality, substring, topk
+from . import bpe, chat, exact_dedup, html_text, jaccard, mixing, quality, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,3 +124,18 @@ from w left join a using (doc_id)""")
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select doc_id, case when len(ws) = 0 then []::varchar[] when len(ws) < 3 then [array_to_string(ws, ' ')]
+             else list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) end as sh from w),
+t as (select doc_id, unnest(sh) as token from s),
+c as (select x.doc_id as a, y.doc_id as b, count(*) as common from t x join t y on x.token = y.token and x.doc_id < y.doc_id group by all),
+l as (select a, b from c join s x on x.doc_id = a join s y on y.doc_id = b where 100 * common >= 90 * (len(x.sh) + len(y.sh) - common)),
+e as (select a, b from l union all select b, a from l),
+r(doc_id, other) as (select doc_id, doc_id from s union select r.doc_id, e.b from r join e on r.other = e.a)
+select s.doc_id, cast(len(sh) as bigint) as n_shingles, m.component_id
+from s join (select doc_id, min(other) as component_id from r group by doc_id) m using (doc_id)""")
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.component_ids(table(spark, sf_dir, "documents"), 3, 90, 100)
