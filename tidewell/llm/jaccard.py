@@ -209,14 +209,14 @@ def _labelled(keyed: DataFrame, comps: DataFrame | None) -> DataFrame:
     else:
         with_comp = keyed.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     mixed = with_comp.groupBy("key").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count(F.lit(1)).alias("n")).where("p <> q")
-    return with_comp.join(mixed.select("key", "n"), "key")
+    return with_comp.join(materialize(mixed.select("key", "n"), "mixed-keys"), "key")  # a table, so that both sides shuffle and a hot key can be split
 
 
 def _hub_pairs(keyed: DataFrame, last: bool, num: int, den: int) -> DataFrame:
     """Each member of a key with one member of it: the one with the smallest id, or the largest."""
     hub = (F.max if last else F.min)(F.struct("id", "size", "comp"))
     hubs = keyed.groupBy("key").agg(hub.alias("hub")).select("key", F.col("hub.id").alias("other"), F.col("hub.size").alias("size_o"), F.col("hub.comp").alias("comp_o"))
-    return _pairs(keyed.join(hubs, "key").where((F.col("comp") != F.col("comp_o")) & _near_sizes("size", "size_o", num, den)))
+    return _pairs(keyed.join(materialize(hubs, "hubs"), "key").where((F.col("comp") != F.col("comp_o")) & _near_sizes("size", "size_o", num, den)))
 
 
 def _rest_pairs(keyed: DataFrame, num: int, den: int) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, html_text, jaccard, mixing, quality, substring, topk
+from . import bpe, chat, exact_dedup, html_text, jaccard, mixing, pii, quality, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,3 +139,8 @@ select s.doc_id, cast(len(sh) as bigint) as n_shingles, m.component_id
 from s join (select doc_id, min(other) as component_id from r group by doc_id) m using (doc_id)""")
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.component_ids(table(spark, sf_dir, "documents"), 3, 90, 100)
+
+
+@query()
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
