@@ -1,14 +1,15 @@
 """N-gram Jaccard join over prefixes of tokens and token combinations.
 
 A document is the set of its distinct n-word shingles; two link when the intersection is at least num / den of the union.
-Equal sets are one class, so copies never meet in pairs. Tokens are shingle hashes in the order of their values. A set of
-s tokens misses at most e of its tokens in a partner. Frequent tokens (over FREQUENT classes have them in their prefix)
-fall in parts by hash; a prefix is extended until e + 1 mismatches cannot use it up, where a rare token counts 1 and a
-part of c frequent tokens c - 1. Rare tokens of the prefix are indexed alone, frequent ones as pairs within their part:
-similar sets share a key. The number of parts grows with the size range of a pair's larger set; a set is indexed in
-each range that it may meet.
-
-Candidates are verified on the texts' whole sets. Within a key, each class is first tried against one class of the key
+Equal sets are one class, so copies never meet in pairs. Tokens are shingle hashes; rare ones come first, frequent ones (in
+over FREQUENT rows, counted over all rows) after them, each by hash. A set of s tokens misses at most e of its tokens in
+a partner. Frequent tokens fall in parts by hash; a prefix is extended until e + 1 mismatches cannot use it up, where a
+rare token counts 1 and a part of c frequent tokens c - 1. Rare tokens of the prefix are indexed alone, frequent ones as
+pairs within their part: similar sets share a key. The number of parts grows with the size range of a pair's larger set;
+a set is indexed in each range that it may meet. Only tokens in the lower half of the hashes are counted; the others come
+last, indexed alone, and only the smallest sets ever need them.
+
+Candidates whose prefixes share too few tokens for a link go; the rest are verified on the texts' whole sets. Within a key, each class is first tried against one class of the key
 (then another), so a key of any size gives one pair per member, and classes already connected are not tried again. What
 is left, pairs of one key in different components, is tried whole, in blocks. Component labels spread over the verified
 links with pointer jumping until nothing changes.
@@ -30,9 +31,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, release
+from .common import WORD, materialize, release
 
-ROWS, FREQUENT, MOST_FREQUENT, BLOCK = 256, 64, 1 << 20, 1_024
+ROWS, FREQUENT, MOST_FREQUENT, BROADCAST_IDS, BLOCK = 256, 32, 1 << 20, 200_000, 1_024
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -76,16 +77,23 @@ def ranges_met(s: int, num: int, den: int) -> range:
     return range(size_range(s), size_range(s * den // num) + 1)
 
 
-def prefix_length(s: int, num: int, den: int) -> int:
-    """Tokens that a prefix can need at most: e + 1 and one for each part."""
-    return min(s, missed(s, num, den) + 1 + max(map(parts_of, ranges_met(s, num, den))))
+def ordered(all_tokens: np.ndarray, frequent: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first tokens of a set in the corpus's order, as many as any prefix of it needs, and the class of each.
 
-
-def keys(prefix: np.ndarray, s: int, frequent: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The keys of a set of s tokens, of which prefix holds the first prefix_length()."""
-    e, out = missed(s, num, den), []
-    at = np.minimum(np.searchsorted(frequent, prefix), max(len(frequent) - 1, 0))
-    common = frequent[at] == prefix if len(frequent) else np.zeros(len(prefix), bool)
+    Classes: 0 rare, 1 frequent, 2 not counted (hashes from 2 ** 63); the order is by class, then hash.
+    """
+    need = missed(len(all_tokens), num, den) + 1 + max(map(parts_of, ranges_met(len(all_tokens), num, den)))
+    at = np.minimum(np.searchsorted(frequent, all_tokens), max(len(frequent) - 1, 0))
+    kind = (all_tokens >> np.uint64(62) & np.uint64(2)).astype(np.uint8)
+    if len(frequent):
+        kind[frequent[at] == all_tokens] = 1
+    order = kind.argsort(kind="stable")[:need]
+    return all_tokens[order], kind[order]
+
+
+def keys(prefix: np.ndarray, kind: np.ndarray, s: int, num: int, den: int) -> np.ndarray:
+    """The keys of a set of s tokens, of which prefix and kind are ordered()."""
+    e, out, common = missed(s, num, den), [], kind == 1
     for r in ranges_met(s, num, den):
         parts = _mix(prefix ^ _M[0]) % np.uint64(parts_of(r))
         counted, left = set(), e + 1
@@ -106,51 +114,69 @@ def keys(prefix: np.ndarray, s: int, frequent: np.ndarray, num: int, den: int) -
     return np.unique(np.concatenate(out))
 
 
-def _sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The rows of docs as struct `row`, with _rid, n_shingles, sig (identity of the set) and prefix."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("_rid"), F.col("text").alias("_text"))
-    schema = rows.select("row", "_rid", F.lit(0).cast("long").alias("n_shingles"), F.lit(b"").alias("sig"), F.array(F.lit(0).cast("long")).alias("prefix")).schema
+def _row_key(docs: DataFrame) -> DataFrame:
+    """docs with _r1 and _r2, 128 bits that tell doc_id and text: the same in each scan, whatever its partitions."""
+    return docs.withColumns({"_r1": F.xxhash64("doc_id", "text"), "_r2": F.xxhash64("text", F.lit(1), "doc_id")})
+
+
+def _sets(docs: DataFrame, frequent: np.ndarray, n: int, num: int, den: int) -> DataFrame:
+    """doc_id, _r1, _r2, _rid, n_shingles, sig (identity of the set), prefix and kind for each row of docs."""
+    keep = ["doc_id", "_r1", "_r2", "_rid"]
+    rows = _row_key(docs.select("doc_id", "text")).withColumn("_rid", F.monotonically_increasing_id()).select(*keep, "text")
+    empty = F.lit(b"")
+    schema = rows.select(*keep, F.lit(0).cast("long").alias("n_shingles"), empty.alias("sig"), F.array(F.lit(0).cast("long")).alias("prefix"), empty.alias("kind")).schema
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 b = whole.slice(at, ROWS)
-                sets = [tokens(t, n) for t in b.column(2).to_pylist()]
+                sets = [tokens(t, n) for t in b.column(4).to_pylist()]
                 sizes = [len(s) for s in sets]
                 sigs = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-                prefixes = [s[: prefix_length(len(s), num, den)].view(np.int64) if len(s) else s.view(np.int64) for s in sets]
-                offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
-                flat = pa.array(np.concatenate(prefixes), pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)], names=["row", "_rid", "n_shingles", "sig", "prefix"])
+                none = np.zeros(0, np.uint64), np.zeros(0, np.uint8)
+                heads = [ordered(s, shared.value, num, den) if len(s) else none for s in sets]
+                offsets = np.concatenate([[0], np.cumsum([len(p) for p, _ in heads])])
+                prefix = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([p for p, _ in heads]).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), prefix, pa.array([k.tobytes() for _, k in heads], pa.binary())], names=[*keep, "n_shingles", "sig", "prefix", "kind"])
 
     return rows.mapInArrow(run, schema)
 
 
-def _frequent_tokens(classes: DataFrame, at_least: int) -> np.ndarray:
-    """Tokens in the prefixes of over at_least classes; the bar rises until there are at most MOST_FREQUENT (8 MB)."""
-    counts = materialize(classes.select(F.explode("prefix").alias("token")).groupBy("token").count().where(F.col("count") > at_least), "frequent")
+def _frequent_tokens(docs: DataFrame, n: int, at_least: int) -> np.ndarray:
+    """Of the tokens with a hash below 2 ** 63, those in over at_least rows of docs, sorted.
+
+    The bar rises until there are at most MOST_FREQUENT of them (8 MB). It only decides how well keys tell sets apart.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                flat = np.concatenate([np.zeros(0, np.uint64), *(tokens(t, n) for t in whole.column(0).slice(at, ROWS).to_pylist())]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(flat[flat >= 0])], names=["token"])
+
+    found = docs.select("text").where("text is not null").mapInArrow(run, "token bigint")
+    counts = materialize(found.groupBy("token").count().where(F.col("count") > at_least), "frequent")
     while counts.where(F.col("count") > at_least).count() > MOST_FREQUENT:
         at_least *= 2
-    found = counts.where(F.col("count") > at_least).select("token").toArrow()["token"].to_numpy()
+    often = counts.where(F.col("count") > at_least).select("token").toArrow()["token"].to_numpy()
     release(counts)
-    return np.sort(found.astype(np.int64).view(np.uint64))
+    return np.sort(often.astype(np.int64).view(np.uint64))
 
 
-def _keyed(classes: DataFrame, frequent: np.ndarray, num: int, den: int) -> DataFrame:
+def _keyed(classes: DataFrame, num: int, den: int) -> DataFrame:
     """key, id, size: a row for each key of each class."""
-    shared = classes.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 b = whole.slice(at, ROWS)
-                sizes = b.column(1).to_pylist()
-                found = [keys(np.array(p, np.int64).view(np.uint64), s, shared.value, num, den) for s, p in zip(sizes, b.column(2).to_pylist(), strict=True)]
+                found = [keys(p.values.to_numpy().view(np.uint64), np.frombuffer(k, np.uint8), s, num, den) for s, p, k in zip(b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True)]
                 own = pa.array(np.repeat(np.arange(b.num_rows), [len(k) for k in found]))
                 flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(flat), b.column(0).take(own), b.column(1).take(own)], names=["key", "id", "size"])
 
-    return classes.select("id", "size", "prefix").mapInArrow(run, "key bigint, id bigint, size bigint")
+    return classes.select("id", "size", "prefix", "kind").mapInArrow(run, "key bigint, id bigint, size bigint")
 
 
 def _near_sizes(a: str, b: str, num: int, den: int) -> Column:
@@ -163,6 +189,38 @@ def _pairs(left: DataFrame) -> DataFrame:
     return left.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
+def _likely(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose prefixes share as many tokens as a link needs.
+
+    Of the prefix that ends first every shared token is in the other prefix too, and at most size - overlap may be missing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                b = whole.slice(at, ROWS)
+                keep = []
+                for s, t, x, y, i, j in zip(*(b.column(i).to_pylist() for i in (2, 3)), *(b.column(i) for i in (4, 5)), *(b.column(i).to_pylist() for i in (6, 7)), strict=True):
+                    x, y = (v.values.to_numpy().view(np.uint64) for v in (x, y))
+                    overlap = -(-num * (s + t) // (num + den))
+                    least = len(x) - (s - overlap) if (i[-1], x[-1]) <= (j[-1], y[-1]) else len(y) - (t - overlap)
+                    keep.append(least <= 0 or len(np.intersect1d(x, y, assume_unique=True)) >= least)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    one = pairs.join(reps.select(F.col("id").alias("a"), F.col("size").alias("s"), F.col("prefix").alias("x"), F.col("kind").alias("i")), "a")
+    both = one.join(reps.select(F.col("id").alias("b"), F.col("size").alias("t"), F.col("prefix").alias("y"), F.col("kind").alias("j")), "b")
+    return both.select("a", "b", "s", "t", "x", "y", "i", "j").mapInArrow(run, "a bigint, b bigint")
+
+
+def _texts(docs: DataFrame, sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, text of the classes ids. Up to BROADCAST_IDS of them (32 bytes each) are broadcast; more are joined by shuffle."""
+    met = sets.select(F.col("_rid").alias("id"), "_r1", "_r2").join(ids, "id", "left_semi")
+    met = materialize(met, "met")
+    small = met.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    whole = _row_key(docs.where("text is not null").select("doc_id", "text")).drop("doc_id")
+    return materialize(whole.join(F.broadcast(met) if small else met, ["_r1", "_r2"]).select("id", "text").dropDuplicates(["id"]), "texts")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs whose texts (id, text) link."""
 
@@ -203,13 +261,16 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _labelled(keyed: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """keyed with comp, for keys whose members are in more than one component."""
+    """keyed with comp and n, members of the key, for keys whose members are in more than one component."""
+    n = F.count(F.lit(1)).alias("n")
     if comps is None:
-        with_comp = keyed.withColumn("comp", F.col("id"))
+        with_comp = keyed.drop("n").withColumn("comp", F.col("id"))
+        mixed = keyed.groupBy("key").agg(n).where("n > 1")
     else:
-        with_comp = keyed.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    mixed = with_comp.groupBy("key").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count(F.lit(1)).alias("n")).where("p <> q")
-    return with_comp.join(materialize(mixed.select("key", "n"), "mixed-keys"), "key")  # a table, so that both sides shuffle and a hot key can be split
+        with_comp = keyed.drop("comp", "n").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        mixed = with_comp.groupBy("key").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), n).where("p <> q").select("key", "n")
+    # A table, so that both sides of the join shuffle and a hot key can be split.
+    return with_comp.drop("n").join(materialize(mixed, "mixed-keys"), "key")
 
 
 def _hub_pairs(keyed: DataFrame, last: bool, num: int, den: int) -> DataFrame:
@@ -234,42 +295,46 @@ def _rest_pairs(keyed: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, frequent: int = FREQUENT) -> DataFrame:
-    """row (struct of the columns of docs), _rid, n_shingles, comp (same in a component, null for empty sets)."""
-    sets = materialize(_sets(docs, n, num, den), "sets")
+    """doc_id, _r1, _r2, _rid, n_shingles, comp (same in a component, null for empty sets) for each row of docs."""
+    sets = materialize(_sets(docs, _frequent_tokens(docs, n, frequent), n, num, den), "sets")
     classes = sets.where("n_shingles > 0").groupBy("sig").agg(F.min("_rid").alias("id"))
-    reps = sets.select("_rid", "n_shingles", "prefix").join(classes, F.col("_rid") == F.col("id")).select("id", F.col("n_shingles").alias("size"), "prefix")
+    reps = sets.select("_rid", "n_shingles", "prefix", "kind").join(classes, F.col("_rid") == F.col("id")).select("id", F.col("n_shingles").alias("size"), "prefix", "kind")
     reps = materialize(reps, "classes")
-    keyed = materialize(_keyed(reps, _frequent_tokens(reps, frequent), num, den), "keys")
+    keyed = materialize(_keyed(reps, num, den), "keys")
     links, tried, comps, texts = None, None, None, None
     for step in ("first", "last", "rest"):
         mixed = materialize(_labelled(keyed, comps), "mixed")
-        if texts is None:  # of classes that share a key with another
-            met = mixed.select("id").distinct()
-            texts = materialize(sets.select(F.col("_rid").alias("id"), F.col("row.text").alias("text")).join(met, "id", "left_semi"), "texts")
+        release(keyed)  # keys of one component never come back
+        keyed = mixed
         pairs = _rest_pairs(mixed.where("n > 2"), num, den) if step == "rest" else _hub_pairs(mixed, step == "last", num, den)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        found = materialize(_verified(pairs, texts, n, num, den), "links")
+        likely = materialize(_likely(pairs, reps, num, den), "likely")
+        ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
+        more = _texts(docs, sets, ids if texts is None else ids.join(texts.select("id"), "id", "left_anti"))
+        texts = more if texts is None else texts.unionByName(more)
+        found = materialize(_verified(likely, texts, n, num, den), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         if found.limit(1).count():
             comps = components(links)
-        release(mixed)
     of_class = classes.withColumn("comp", F.col("id")) if comps is None else classes.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    return sets.select("row", "_rid", "n_shingles", "sig").join(of_class.select("sig", "comp"), "sig", "left").drop("sig")
+    return sets.drop("prefix", "kind").join(of_class.select("sig", "comp"), "sig", "left").drop("sig")
 
 
 def component_ids(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id of the component) for each row of docs."""
-    found = linked(docs.select("doc_id", "text"), n, num, den).select("row.doc_id", "n_shingles", "comp")
+    found = linked(docs, n, num, den).select("doc_id", "n_shingles", "comp")
     smallest = found.where("comp is not null").groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("component_id"))
     return found.join(smallest, F.col("comp") == F.col("c"), "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of docs, one of each component (that with the smallest doc_id, then the first of the scan)."""
-    found = linked(docs, n, num, den)
-    order = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.col("_rid").alias("r"))
-    first = found.where("comp is not null").groupBy("comp").agg(F.min(order).alias("first")).select(F.col("first.r").alias("_keep"))
-    return found.join(first, F.col("_rid") == F.col("_keep"), "left").where("comp is null or _keep is not null").select("row.*")
+    """The rows of docs, one of each component (that with the smallest doc_id), and all without words."""
+    found = linked(docs, n, num, den).where("comp is not null")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), "_r1", "_r2")
+    first = found.groupBy("comp").agg(F.min(order).alias("first")).select("first._r1", "first._r2")
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    kept = _row_key(docs.where(worded)).join(materialize(first, "kept"), ["_r1", "_r2"]).dropDuplicates(["_r1", "_r2"])
+    return kept.select(*docs.columns).unionByName(docs.where(~worded))
