@@ -63,7 +63,7 @@ def page(df: DataFrame, keys: Sequence[str], n: int = PAGE, cursor: Sequence[Col
 
 def _counts() -> list[Column]:
     of = lambda s: F.count_if(F.col("status") == s)
-    rate = of("failed") / F.count(F.lit(1))
+    rate = F.try_divide(of("failed"), F.count(F.lit(1)))
     return [F.count(F.lit(1)).alias("total"), of("completed").alias("completed"), of("failed").alias("failed"), of("retrying").alias("retrying"), of("pending").alias("pending"), F.coalesce(F.avg("duration_ms").cast("long"), F.lit(0)).alias("avg_ms"), F.coalesce(F.round(rate, 6), F.lit(0.0)).alias("error_rate")]
 
 
