@@ -100,7 +100,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     blocks = max(1, -(-queries.count() // BLOCK))
     hashed = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
     dealt = vectors.withColumn("g", hashed(groups, 1)).withColumn("b", F.explode(F.array(*map(F.lit, range(blocks)))))
-    asked = queries.select(F.col("vec_id").alias("query_id"), "v", "dim", hashed(blocks, 2).alias("b"), hashed(groups, 3).alias("home"))
+    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("v"), F.col("dim").alias("dim"), hashed(blocks, 2).alias("b"), hashed(groups, 3).alias("home"))
 
     def within(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
