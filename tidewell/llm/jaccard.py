@@ -11,7 +11,8 @@ last, indexed alone, and only the smallest sets ever need them.
 
 Candidates whose prefixes share too few tokens for a link go; the rest are verified on the texts' whole sets. Within a key, each class is first tried against one class of the key
 (then another), so a key of any size gives one pair per member, and classes already connected are not tried again. What
-is left, pairs of one key in different components, is tried whole, in blocks. Component labels spread over the verified
+is left, pairs of one key in different components, is tried whole, in blocks, but for pairs whose bits (parities of the
+tokens that fall on each) differ in more places than linked sets differ in tokens. Component labels spread over the verified
 links with pointer jumping until nothing changes.
 
 Defined results: null texts, and texts without words, have an empty set, link with nothing and are their own component;
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, materialize, release
 
-ROWS, FREQUENT, MOST_FREQUENT, BROADCAST_IDS, BLOCK = 256, 32, 1 << 20, 200_000, 1_024
+ROWS, FREQUENT, MOST_FREQUENT, BROADCAST_IDS, BLOCK, BITS = 256, 32, 1 << 20, 200_000, 1_024, 512
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -59,6 +60,12 @@ def tokens(text: str | None, n: int) -> np.ndarray:
     return np.unique(out)
 
 
+def parities(all_tokens: np.ndarray) -> np.ndarray:
+    """BITS bits, each the parity of the tokens that fall on it: two sets differ in as many tokens as bits, or more."""
+    odd = np.bincount((all_tokens % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def size_range(s: int) -> int:
     return s.bit_length()
 
@@ -120,11 +127,11 @@ def _row_key(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, frequent: np.ndarray, n: int, num: int, den: int) -> DataFrame:
-    """doc_id, _r1, _r2, _rid, n_shingles, sig (identity of the set), prefix and kind for each row of docs."""
+    """doc_id, _r1, _r2, _rid, n_shingles, sig (identity of the set), bits (parities), prefix and kind for each row of docs."""
     keep = ["doc_id", "_r1", "_r2", "_rid"]
     rows = _row_key(docs.select("doc_id", "text")).withColumn("_rid", F.monotonically_increasing_id()).select(*keep, "text")
     empty = F.lit(b"")
-    schema = rows.select(*keep, F.lit(0).cast("long").alias("n_shingles"), empty.alias("sig"), F.array(F.lit(0).cast("long")).alias("prefix"), empty.alias("kind")).schema
+    schema = rows.select(*keep, F.lit(0).cast("long").alias("n_shingles"), empty.alias("sig"), F.array(F.lit(0).cast("long")).alias("bits"), F.array(F.lit(0).cast("long")).alias("prefix"), empty.alias("kind")).schema
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +145,9 @@ def _sets(docs: DataFrame, frequent: np.ndarray, n: int, num: int, den: int) ->
                 heads = [ordered(s, shared.value, num, den) if len(s) else none for s in sets]
                 offsets = np.concatenate([[0], np.cumsum([len(p) for p, _ in heads])])
                 prefix = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([p for p, _ in heads]).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), prefix, pa.array([k.tobytes() for _, k in heads], pa.binary())], names=[*keep, "n_shingles", "sig", "prefix", "kind"])
+                width = BITS // 64
+                bits = pa.ListArray.from_arrays(pa.array(range(0, width * len(sets) + 1, width), pa.int32()), pa.array(np.concatenate([parities(s) for s in sets])))
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), bits, prefix, pa.array([k.tobytes() for _, k in heads], pa.binary())], names=[*keep, "n_shingles", "sig", "bits", "prefix", "kind"])
 
     return rows.mapInArrow(run, schema)
 
@@ -165,7 +174,7 @@ def _frequent_tokens(docs: DataFrame, n: int, at_least: int) -> np.ndarray:
 
 
 def _keyed(classes: DataFrame, num: int, den: int) -> DataFrame:
-    """key, id, size: a row for each key of each class."""
+    """key, id, size, rare (rare tokens among its first ones): a row for each key of each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -174,9 +183,10 @@ def _keyed(classes: DataFrame, num: int, den: int) -> DataFrame:
                 found = [keys(p.values.to_numpy().view(np.uint64), np.frombuffer(k, np.uint8), s, num, den) for s, p, k in zip(b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True)]
                 own = pa.array(np.repeat(np.arange(b.num_rows), [len(k) for k in found]))
                 flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(flat), b.column(0).take(own), b.column(1).take(own)], names=["key", "id", "size"])
+                rare = pa.array([k.count(0) for k in b.column(3).to_pylist()], pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(flat), b.column(0).take(own), b.column(1).take(own), rare.take(own)], names=["key", "id", "size", "rare"])
 
-    return classes.select("id", "size", "prefix", "kind").mapInArrow(run, "key bigint, id bigint, size bigint")
+    return classes.select("id", "size", "prefix", "kind").mapInArrow(run, "key bigint, id bigint, size bigint, rare int")
 
 
 def _near_sizes(a: str, b: str, num: int, den: int) -> Column:
@@ -184,6 +194,12 @@ def _near_sizes(a: str, b: str, num: int, den: int) -> Column:
     return (F.col(a) * den >= F.col(b) * num) & (F.col(b) * den >= F.col(a) * num)
 
 
+def _near_bits(num: int, den: int) -> Column:
+    """The sets (size, bits and size_o, bits_o) may link: their parities differ in no more bits than linked sets differ in tokens."""
+    apart = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits_o")[i])) for i in range(BITS // 64)), F.lit(0))
+    return apart * (num + den) <= (F.col("size") + F.col("size_o")) * (den - num)
+
+
 def _pairs(left: DataFrame) -> DataFrame:
     """Distinct pairs (a, b), smaller id first."""
     return left.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
@@ -274,31 +290,31 @@ def _labelled(keyed: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 
 def _hub_pairs(keyed: DataFrame, last: bool, num: int, den: int) -> DataFrame:
-    """Each member of a key with one member of it: the one with the smallest id, or the largest."""
-    hub = (F.max if last else F.min)(F.struct("id", "size", "comp"))
+    """Each member of a key with one member of it: the one with the fewest rare tokens, as it is near the most, or the largest id."""
+    hub = F.max(F.struct("id", "size", "comp")) if last else F.min(F.struct("rare", "id", "size", "comp"))
     hubs = keyed.groupBy("key").agg(hub.alias("hub")).select("key", F.col("hub.id").alias("other"), F.col("hub.size").alias("size_o"), F.col("hub.comp").alias("comp_o"))
     return _pairs(keyed.join(materialize(hubs, "hubs"), "key").where((F.col("comp") != F.col("comp_o")) & _near_sizes("size", "size_o", num, den)))
 
 
 def _rest_pairs(keyed: DataFrame, num: int, den: int) -> DataFrame:
-    """All pairs within a key whose components differ.
+    """All pairs within a key whose components differ, but those whose sizes or bits rule a link out.
 
     Members of the key's first component take no part among themselves: the others, in blocks, meet everyone.
     """
     main = keyed.groupBy("key").agg(F.min("comp").alias("main"))
     marked = keyed.join(main, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).cast("int"))
-    asking = marked.where("comp <> main").select("key", "block", "id", "size", "comp")
+    asking = marked.where("comp <> main").select("key", "block", "id", "size", "bits", "comp")
     blocks = asking.select("key", F.col("block").alias("asked_by")).distinct()
-    facing = marked.join(blocks, "key").select("key", F.col("asked_by"), "block", F.col("id").alias("other"), F.col("size").alias("size_o"), F.col("comp").alias("comp_o"))
+    facing = marked.join(blocks, "key").select("key", F.col("asked_by"), "block", F.col("id").alias("other"), F.col("size").alias("size_o"), F.col("bits").alias("bits_o"), F.col("comp").alias("comp_o"))
     met = asking.withColumnRenamed("block", "asked_by").join(facing, ["key", "asked_by"])
-    return _pairs(met.where((F.col("comp") != F.col("comp_o")) & _near_sizes("size", "size_o", num, den)))
+    return _pairs(met.where((F.col("comp") != F.col("comp_o")) & _near_sizes("size", "size_o", num, den) & _near_bits(num, den)))
 
 
 def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, _r1, _r2, _rid, n_shingles, comp (same in a component, null for empty sets) for each row of docs."""
     sets = materialize(_sets(docs, _frequent_tokens(docs, n, frequent), n, num, den), "sets")
     classes = sets.where("n_shingles > 0").groupBy("sig").agg(F.min("_rid").alias("id"))
-    reps = sets.select("_rid", "n_shingles", "prefix", "kind").join(classes, F.col("_rid") == F.col("id")).select("id", F.col("n_shingles").alias("size"), "prefix", "kind")
+    reps = sets.select("_rid", "n_shingles", "bits", "prefix", "kind").join(classes, F.col("_rid") == F.col("id")).select("id", F.col("n_shingles").alias("size"), "bits", "prefix", "kind")
     reps = materialize(reps, "classes")
     keyed = materialize(_keyed(reps, num, den), "keys")
     links, tried, comps, texts = None, None, None, None
@@ -306,7 +322,7 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, frequent:
         mixed = materialize(_labelled(keyed, comps), "mixed")
         release(keyed)  # keys of one component never come back
         keyed = mixed
-        pairs = _rest_pairs(mixed.where("n > 2"), num, den) if step == "rest" else _hub_pairs(mixed, step == "last", num, den)
+        pairs = _rest_pairs(mixed.where("n > 2").join(reps.select("id", "bits"), "id"), num, den) if step == "rest" else _hub_pairs(mixed, step == "last", num, den)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
@@ -320,7 +336,7 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, frequent:
         if found.limit(1).count():
             comps = components(links)
     of_class = classes.withColumn("comp", F.col("id")) if comps is None else classes.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    return sets.drop("prefix", "kind").join(of_class.select("sig", "comp"), "sig", "left").drop("sig")
+    return sets.drop("bits", "prefix", "kind").join(of_class.select("sig", "comp"), "sig", "left").drop("sig")
 
 
 def component_ids(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
