@@ -95,6 +95,17 @@ def test_jaccard_empty_repeated_and_null_ids(spark, tmp_path):
     assert sorted(r.doc_id or 0 for r in jaccard.keep_one(df).collect()) == [0, 1, 2]
 
 
+def test_parities_never_exceed_the_difference():
+    r = np.random.default_rng(7)
+    for size in (1, 3, 150, 3000):
+        a = np.unique(r.integers(0, 2**64, size, np.uint64))
+        for kept in (0, size // 2, size - 1, size):
+            b = np.unique(np.concatenate([a[:kept], r.integers(0, 2**64, size - kept, np.uint64)]))
+            bits = sum(int(x).bit_count() for x in (jaccard.parities(a) ^ jaccard.parities(b)).view(np.uint64))
+            assert bits <= len(np.setxor1d(a, b)) and (kept < size or bits == 0)
+    assert not jaccard.parities(np.zeros(0, np.uint64)).any() and len(jaccard.parities(a)) == jaccard.BITS // 64
+
+
 def test_exact_dedup_corner_cases(spark, tmp_path):
     texts = ["a", None, "", "a", "x" * 10_000 + "1", "x" * 10_000 + "2", "x" * 10_000 + "1"]
     got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_duplicates(stored(spark, docs_of(spark, texts), tmp_path)).collect()}
