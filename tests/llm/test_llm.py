@@ -184,6 +184,35 @@ def test_html_corner_cases(spark):
     assert got[4] == "unclosed tag" and got[5] == "plain"
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_html_gives_every_block_of_nested_sections(seed):
+    r = np.random.default_rng(seed)
+    want = []
+
+    def block(tag, words):
+        want.append(" ".join(f"w{len(want)}x{i}" for i in range(words)))
+        return f"<{tag}>{want[-1]}</{tag}>"
+
+    def section(depth):
+        out = block(f"h{depth + 2}", 2)
+        for _ in range(r.integers(1, 4)):
+            out += section(depth + 1) if depth < 3 and r.random() < 0.4 else "".join(block("p", int(r.integers(5, 60))) for _ in range(r.integers(1, 12)))
+        return f"<section>{out}</section>" if seed % 2 else f"<div>{out}</div>"
+
+    body = block("h1", 3) + "".join(section(0) for _ in range(3))
+    around = ("<article>", "</article>") if seed % 4 < 2 else ("<div>", "</div>")
+    page = f"<body><div><ul><li><a href=a>Home</a></li><li><a href=b>About us</a></li></ul></div>{around[0]}{body}{around[1]}<footer>f</footer></body>"
+    assert html_text.main_text(page).split("\n") == want
+
+
+def test_html_gives_the_lesser_sections_of_an_article():
+    paragraphs = lambda n, size, word: "".join(f"<p>{(word * size)[:size]}</p>" for _ in range(n))
+    page = f"<article><h1>T</h1><section>{paragraphs(20, 150, 'ab ')}</section><section><h2>S</h2>{paragraphs(3, 100, 'cd ')}</section></article>"
+    assert len(html_text.main_text(page).split("\n")) == 25
+    page = f"<section>{paragraphs(6, 200, 'ab ')}</section><section>{paragraphs(5, 120, 'cd ')}</section>"
+    assert len(html_text.main_text(page).split("\n")) == 11
+
+
 def test_topk_against_all_scores(spark):
     r = np.random.default_rng(5)
     rows = [(i, r.normal(size=8).tolist()) for i in range(300)] + [(300, None), (301, [None] * 8), (302, [float("nan")] * 8), (None, [0.0] * 8)]

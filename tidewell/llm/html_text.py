@@ -3,7 +3,13 @@
 Each page becomes a tree. A node's density is its characters per tag, lowered as the share of characters and tags inside
 links grows; its density sum adds the densities of its children. The subtree with the largest density sum holds the
 article. The smallest density on the path from it to the body is the threshold: from the body down, every node that
-reaches the threshold gives its own subtree of the largest density sum. Menus, headers, footers, sidebars, notices,
+reaches the threshold gives its own subtree of the largest density sum.
+
+A density grows with the size of a subtree, so these subtrees only find the article. What is given is all uncut text of
+the region around it: the outermost <article> or <main> that holds it (with the other ones that hold prose), or, on pages
+without, the smallest ancestor that holds every subtree found and every block of prose (mostly outside links, and of
+LEAST characters or an element of PROSE). Of that ancestor only blocks of links beside the path to the article stay out.
+A region without an h1 takes the headings that stand before it. Menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments are cut from the tree before, by tag, role, class and id.
 
 Defined results: a null or empty page, or one without text, has an empty text; tags that never close end with the page;
@@ -28,6 +34,9 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta source trac
 BLOCK_TAGS = frozenset("address article blockquote body br dd div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre section table tbody td tfoot th thead tr ul details summary center".split())
 CUT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup modal newsletter subscribe signup nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget related share sharing social comment comments disqus respond reply replies pagination pager toolbar login search skip".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE = frozenset("article section p blockquote pre table ul ol dl figure".split())
+LEAST = 80
 RAW_TAGS = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg")
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*(?:>|\Z)|<[!?][^>]*\Z|</?\Z", re.S)
@@ -36,7 +45,7 @@ RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW_TAGS}
 
 
 class Node:
-    __slots__ = ("tag", "kids", "cut", "chars", "link_chars", "tags", "link_tags", "density", "total", "best")
+    __slots__ = ("tag", "kids", "cut", "chars", "link_chars", "head_chars", "tags", "link_tags", "density", "total", "best")
 
     def __init__(self, tag: str, cut: bool):
         self.tag, self.cut = tag, cut
@@ -105,6 +114,7 @@ def measure(root: Node) -> list[Node]:
     for n in reversed(nodes):
         kids = [k for k in n.kids if not isinstance(k, str) and not k.cut]
         n.chars = sum(len(" ".join(k.split())) for k in n.kids if isinstance(k, str)) + sum(k.chars for k in kids)
+        n.head_chars = n.chars if n.tag in HEADINGS else sum(k.head_chars for k in kids)
         n.tags = len(kids) + sum(k.tags for k in kids)
         n.link_chars = n.chars if n.tag == "a" else sum(k.link_chars for k in kids)
         n.link_tags = n.tags + 1 if n.tag == "a" else sum(k.link_tags for k in kids)
@@ -119,7 +129,7 @@ def measure(root: Node) -> list[Node]:
     return nodes
 
 
-def _text(node: Node) -> str:
+def _text(node: Node, skip: set[int] = frozenset()) -> str:
     blocks, line = [], []
 
     def close() -> None:
@@ -134,7 +144,7 @@ def _text(node: Node) -> str:
             close()
         elif isinstance(x, str):
             line.append(x)
-        elif not x.cut:
+        elif not x.cut and id(x) not in skip:
             if x.tag in BLOCK_TAGS:
                 close()
                 todo.append(None)
@@ -143,6 +153,42 @@ def _text(node: Node) -> str:
     return "\n".join(blocks)
 
 
+def _linked(n: Node) -> bool:
+    return 2 * n.link_chars >= n.chars
+
+
+def _region(nodes: list[Node], parents: dict[int, Node], best: Node, found: list[Node]) -> tuple[set[int], set[int]]:
+    """Ids of the nodes whose text is given, and of the blocks of links in them that are not."""
+    dense = {id(x) for x in [*found, best]}
+    dense |= {id(n) for n in nodes if not _linked(n) and (n.tag in PROSE or n.chars - n.link_chars >= LEAST)}
+    for n in reversed(nodes):
+        if id(n) in dense and (p := parents.get(id(n))):
+            dense.add(id(p))
+    home, n = None, best
+    while n is not None:
+        home, n = n if n.tag in ("article", "main") else home, parents.get(id(n))
+    region, skip, beside, n = home or best, set(), set(), home or best
+    while not home and (p := parents.get(id(n))) is not None:
+        others = [k for k in p.kids if k is not n and (isinstance(k, str) or not k.cut)]
+        beside |= {id(k) for k in others if not isinstance(k, str) and k.tag in BLOCK_TAGS and _linked(k) and id(k) not in dense}
+        if any(len(" ".join(k.split())) >= LEAST if isinstance(k, str) else id(k) in dense for k in others):
+            region, skip = p, skip | beside
+        n = p
+    keep = {id(x) for x in [region, *found]}
+    if home:
+        keep |= {id(x) for x in nodes if x.tag in ("article", "main") and id(x) in dense}
+    if not any(x.tag == "h1" for x in _below(region)):
+        n = region
+        while (p := parents.get(id(n))) is not None:
+            for k in p.kids:
+                if k is n:
+                    break
+                if not isinstance(k, str) and not k.cut and k.chars and k.head_chars == k.chars and not _linked(k):
+                    keep.add(id(k))
+            n = p
+    return keep, skip
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
@@ -163,15 +209,15 @@ def main_text(page: str | None) -> str:
         if n.density >= threshold and id(n.best) not in seen and n.best.tag in BLOCK_TAGS:
             seen.add(id(n.best))
             found.append(n.best)
-    keep = {id(x) for x in [*found, best]}
+    keep, skip = _region(nodes, parents, best, found)
     out, todo = [], [root]
     while todo:
         x = todo.pop()
         if id(x) in keep:
-            out.append(x)
+            out.append(_text(x, skip))
         else:
             todo += [k for k in reversed(x.kids) if not isinstance(k, str) and not k.cut]
-    return "\n".join(t for t in map(_text, out) if t)
+    return "\n".join(t for t in out if t)
 
 
 def extract(pages: DataFrame, column: str = "html") -> DataFrame:
