@@ -213,6 +213,26 @@ def test_html_gives_the_lesser_sections_of_an_article():
     assert len(html_text.main_text(page).split("\n")) == 11
 
 
+def test_html_names_do_not_cut_the_article():
+    text = "".join(f"<p>{'some words of the article ' * 5}{i}</p>" for i in range(6))
+    want = html_text.main_text(f"<body><div>{text}</div></body>")
+    assert want.count("\n") == 5
+    around = "<div class='sidebar'><p>{0}</p></div><div id=comments>{1}</div>".format("sidebar text " * 10, "".join(f"<div class=comment><p>{'a reader says ' * 20}</p></div>" for _ in range(20)))
+    for start in ("<div class='content has-sidebar'>", "<div class=no-comments>", "<div class='elementor-widget-text'>", "<div class=page-header-fixed>", "<form action=x>", "<div class='widget'><div class='promo widget'>"):
+        for inner in (text, f"<article>{text}</article>", f"<main>{text}</main>"):
+            page = f"<body>{start}{inner}{'</form>' if 'form' in start else '</div>' * start.count('<div')}{around}</body>"
+            assert html_text.main_text(page) == want, page
+    widgets = "".join(f"<div class='elementor-widget'>{p}</p></div>" for p in text.split("</p>") if p)
+    assert html_text.main_text(f"<body>{widgets}{around}</body>") == want
+    small = f"<body><div class=widget><article>{text[:140]}</article></div><div><ul>{'<li><a href=x>link text of a list</a></li>' * 30}</ul></div></body>"
+    assert "some words of the article" in html_text.main_text(small)
+    inside = f"<article><h1>T</h1><div class='post-widget'>{text}</div></article>"
+    assert html_text.main_text(f"<body><div class=ad>{'buy this ' * 99}</div>{inside}{around}</body>") == f"T\n{want}"
+    # What has these names beside an article is still cut.
+    assert html_text.main_text(f"<body><div>{text}</div><form><p>{'form text ' * 20}</p></form>{around}</body>") == want
+    assert html_text.main_text("<body><div class=comment><p>only readers speak here</p></div></body>") == "only readers speak here"
+
+
 def test_topk_against_all_scores(spark):
     r = np.random.default_rng(5)
     rows = [(i, r.normal(size=8).tolist()) for i in range(300)] + [(300, None), (301, [None] * 8), (302, [float("nan")] * 8), (None, [0.0] * 8)]

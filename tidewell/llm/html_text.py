@@ -12,6 +12,12 @@ LEAST characters or an element of PROSE). Of that ancestor only blocks of links
 A region without an h1 takes the headings that stand before it. Menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments are cut from the tree before, by tag, role, class and id.
 
+Cuts by class or id, and of forms, are judged by what they would take. A name that takes over half of the page's text
+outside links (of the text of its only <main> or <article>, if that stands outside all names) cuts nothing on that page,
+and no name cuts what holds a <main>, or the page's only <article>. Pieces of
+a name after has-, no-, with- and the like do not count. Reader comments are left out of that half, unless the page has
+less than LEAST characters besides.
+
 Defined results: a null or empty page, or one without text, has an empty text; tags that never close end with the page;
 an unclosed comment, script or tag runs to the
 end; text in no tag belongs to the body; rows that repeat are extracted each;
@@ -23,16 +29,19 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # Elements that never hold an article, that stand alone, and that break a line of text.
-CUT_TAGS = frozenset("nav header footer aside form script style noscript template iframe object embed svg canvas button select option textarea input label fieldset dialog menu title head".split())
+CUT_TAGS = frozenset("nav header footer aside script style noscript template iframe object embed svg canvas button select option textarea input label fieldset dialog menu title head".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK_TAGS = frozenset("address article blockquote body br dd div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre section table tbody td tfoot th thead tr ul details summary center".split())
 CUT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup modal newsletter subscribe signup nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget related share sharing social comment comments disqus respond reply replies pagination pager toolbar login search skip".split())
+READER_WORDS = frozenset("comment comments disqus respond reply replies".split())
+NEGATING = frozenset("has no not non with without".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROSE = frozenset("article section p blockquote pre table ul ol dl figure".split())
@@ -45,23 +54,84 @@ RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW_TAGS}
 
 
 class Node:
-    __slots__ = ("tag", "kids", "cut", "chars", "link_chars", "head_chars", "tags", "link_tags", "density", "total", "best")
+    __slots__ = ("tag", "kids", "cut", "names", "chars", "link_chars", "head_chars", "tags", "link_tags", "density", "total", "best")
 
-    def __init__(self, tag: str, cut: bool):
-        self.tag, self.cut = tag, cut
+    def __init__(self, tag: str, cut: bool, names: frozenset[str] = frozenset()):
+        self.tag, self.cut, self.names = tag, cut, names
         self.kids: list = []
 
 
-def _is_cut(tag: str, attributes: str) -> bool:
+def _cut_and_names(tag: str, attributes: str) -> tuple[bool, frozenset[str]]:
+    """Whether the element is cut whatever it holds, and the words by which it may be."""
+    names = {"form"} if tag == "form" else set()
     if tag in CUT_TAGS:
-        return True
+        return True, frozenset()
     for name, a, b, c in ATTRIBUTE.findall(attributes) if attributes else ():
         value, name = (a or b or c).lower(), name.lower()
         if name == "role" and value in CUT_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main") and not CUT_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
-    return False
+            return True, frozenset()
+        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
+            for one in value.split():
+                for piece in re.split(r"[^a-z0-9]+", one):
+                    if piece in NEGATING:
+                        break
+                    if piece in CUT_WORDS:
+                        names.add(piece)
+    return False, frozenset(names)
+
+
+def _cut_by_names(root: Node) -> None:
+    """Cut the elements with names, but for those that would take the article with them."""
+    shares: Counter = Counter()  # characters outside links, by the names of all elements around them
+    within: dict[int, Counter] = {}  # the same of each outermost article and main
+    named, homes, todo = [], [], [(root, frozenset(), None, False, False, None)]
+    while todo:
+        n, above, up, linked, inside, home = todo.pop()
+        if n.names:
+            above, up = above | {n.names}, (n, up)
+            named.append(n)
+        elif n.tag == "main" or n.tag == "article" and not inside:
+            homes.append((n, up))
+        if n.tag in ("article", "main") and home is None:
+            home = within.setdefault(id(n), Counter())
+        for k in n.kids:
+            if not isinstance(k, str):
+                if not k.cut:
+                    todo.append((k, above, up, linked or k.tag == "a", inside or n.tag == "article", home))
+            elif not linked and (size := len(" ".join(k.split()))):
+                shares[above] += size
+                if home is not None:
+                    home[above] += size
+    if not named:
+        return
+    alone = [x for x in homes if x[0].tag == "main"] or homes
+    if len(alone) == 1 and alone[0][1] is None and (its := within.get(id(alone[0][0]))):
+        shares = its
+    own = Counter({above: size for above, size in shares.items() if not any(READER_WORDS & x for x in above)})
+    if own.total() < LEAST:
+        own = shares
+    taken: Counter = Counter()
+    for above, size in own.items():
+        for names in above:
+            taken[names] += size
+    for n in named:
+        n.cut = 2 * taken[n.names] <= own.total()
+
+    def around(up: tuple | None) -> list[Node]:
+        found = []
+        while up:
+            n, up = up
+            if n.cut:
+                found.append(n)
+        return found
+
+    articles = [around(up) for n, up in homes if n.tag == "article"]
+    articles = [cuts for cuts in articles if not any(READER_WORDS & x.names for x in cuts)]
+    keep = [x for n, up in homes if n.tag == "main" for x in around(up)]
+    if len(articles) == 1:
+        keep += articles[0]
+    for n in keep:
+        n.cut = False
 
 
 def tree(page: str) -> Node:
@@ -91,13 +161,14 @@ def tree(page: str) -> Node:
                     break
                 if stack[i].tag in BLOCK_TAGS:
                     break
-        node = Node(tag, _is_cut(tag, m[3] or ""))
+        node = Node(tag, *_cut_and_names(tag, m[3] or ""))
         stack[-1].kids.append(node)
         if tag in RAW_END:
             stop = RAW_END[tag].search(page, at)
             at = stop.end() if stop else end
         elif tag not in VOID_TAGS and not (m[3] or "").endswith("/"):
             stack.append(node)
+    _cut_by_names(root)
     return root
 
 
