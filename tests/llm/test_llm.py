@@ -112,6 +112,18 @@ def test_exact_dedup_corner_cases(spark, tmp_path):
     assert got == {0: (3, 2, False), 3: (3, 2, True), 1: (2, 2, False), 2: (2, 2, True), 4: (6, 2, False), 6: (6, 2, True), 5: (5, 1, True)}
 
 
+def test_exact_dedup_when_the_second_scan_has_other_partitions(spark, tmp_path):
+    docs = docs_of(spark, [f"text {i % 50}" for i in range(400)]).repartition(8)
+    docs.write.parquet(str(tmp_path / "t"))
+    kept = exact_dedup.drop_exact_duplicates(spark.read.parquet(str(tmp_path / "t")))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(350, 400))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_mixing_targets_are_met(spark):
     r = np.random.default_rng(3)
     rows = [(i, "w " * int(r.integers(1, 30)), "en", [None, "a", "b", "c"][i % 4], 0) for i in range(4000)]

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dense_names, rows_of
+from .common import dense_names, materialize, rows_of
 
 BLOCK = 4096
 
@@ -27,7 +27,8 @@ def _pair(a: str, b: str) -> Column:
 def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """_rid, doc_id, sha (binary), n_blocks, name: (n_blocks, name) is the identity of a row's text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = rows_of(docs, "doc_id", "text").select("_rid", "doc_id", F.encode(text, "utf-8").alias("_b"), text.alias("_t"))
+    rows = docs if "_rid" in docs.columns else rows_of(docs, "doc_id", "text")
+    rows = rows.select("_rid", "doc_id", F.encode(text, "utf-8").alias("_b"), text.alias("_t"))
     n = F.greatest(F.lit(1), F.ceil(F.length("_b") / F.lit(block)).cast("long"))
     blocks = rows.withColumn("n_blocks", n).withColumn("pos", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
     blocks = blocks.select(
@@ -66,6 +67,10 @@ def exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    kept = exact_duplicates(docs, block).where("kept").select("_rid")
-    return docs.withColumn("_rid", F.monotonically_increasing_id()).join(kept, "_rid", "left_semi").drop("_rid")
+    """The rows of docs that stay, with all their columns.
+
+    Rows are numbered once, in a table that both sides read: a second scan may be cut into other partitions.
+    """
+    rows = materialize(docs.withColumn("_rid", F.monotonically_increasing_id()), "rows")
+    kept = exact_duplicates(rows, block).where("kept").select("_rid")
+    return rows.join(kept, "_rid", "left_semi").drop("_rid")
