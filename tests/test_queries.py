@@ -82,6 +82,23 @@ def test_ttl_runs_from_the_last_accepted(spark):
     assert sorted(r.seq for r in state.ttl_dedup(df, 10 * 3600).collect()) == [0, 11, 22]
 
 
+def test_ttl_of_a_hot_id_is_walked_in_batches(spark):
+    df = spark.sql("select if(id % 3 < 2, 'hot', cast(id % 50 as string)) message_id, id as seq, timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, (id * 7919) % 100000) as arrived_at from range(3000) union all select null, -1L, null")
+    want, last = [], {}
+    for r in sorted(df.collect(), key=lambda r: (r.message_id or "", r.arrived_at, r.seq)):
+        if r.message_id not in last or (r.arrived_at - last[r.message_id]).total_seconds() > 600:
+            want.append(r.seq)
+            last[r.message_id] = r.arrived_at
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        got = state.ttl_dedup(df, 600)
+        assert sorted(r.seq for r in got.collect()) == sorted(want)
+        assert "FlatMapGroups" not in got._jdf.queryExecution().executedPlan().toString()  # no group is held as a whole
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_empty_summary_is_zero(spark):
     row = monitor.summary(read(spark, SF, "monitor_entries").where("false")).first()
     assert (row.total, row.failed, row.avg_ms, row.error_rate) == (0, 0, 0, 0.0)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,18 +54,23 @@ def acquirable(claims: DataFrame, as_of: str) -> DataFrame:
 def ttl_dedup(deliveries: DataFrame, ttl_seconds: int) -> DataFrame:
     """Deliveries accepted: the first of an id, and each that comes after the expiry of the one accepted before.
 
-    The next answer depends on the last accepted time, which no window function carries, so each id is walked in order.
+    The next answer depends on the last accepted time, which no window function carries, so each id is walked in order,
+    batch by batch with one id and one time in hand: memory does not grow with an id's deliveries.
     """
 
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, last, keep = rows.sort_values(["arrived_at", "seq"]), None, []
-        ttl = pd.Timedelta(seconds=ttl_seconds)
-        for t in rows["arrived_at"]:
-            keep.append(last is None or last + ttl < t)
-            last = t if keep[-1] else last
-        return rows[keep]
-
-    return deliveries.groupBy("message_id").applyInPandas(walk, deliveries.schema)
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ttl, at_id, last = ttl_seconds * 1_000_000, object(), None
+        for b in batches:
+            keep = []
+            times = b.column(b.schema.get_field_index("arrived_at")).cast(pa.int64())  # microseconds
+            for i, t in zip(b.column(b.schema.get_field_index("message_id")).to_pylist(), times.to_pylist(), strict=True):
+                keep.append(i != at_id or None not in (last, t) and last + ttl < t)
+                if keep[-1]:
+                    at_id, last = i, t
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    ordered = deliveries.repartition("message_id").sortWithinPartitions("message_id", F.asc_nulls_last("arrived_at"), "seq")
+    return ordered.mapInArrow(walk, deliveries.schema)
 
 
 def accepted_schemas(log: DataFrame) -> DataFrame:
