@@ -188,6 +188,18 @@ def test_quality_without_labels_or_rows(spark):
     assert quality.classify(docs_of(spark, []).limit(0), labels).count() == 0
 
 
+def test_quality_takes_a_repeated_labelled_document_once(spark):
+    texts = {0: ["one two"] * 300 + ["THREE 4!"] * 100, 1: ["five"], 5: ["six seven", "six seven"], 9: [None]}
+    docs = spark.createDataFrame([(i, t) for i, ts in texts.items() for t in ts], "doc_id bigint, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in texts], "doc_id bigint, quality int, toxic int")
+    used = [r.doc_id for r in labels.where(~quality.held_out()).collect()]
+    assert 0 in used
+    total, x, y = quality._gather(docs, labels)
+    want = {tuple(np.float32(np.mean([quality.features(t or "") for t in texts[i]], 0))) for i in used}
+    assert total[-1, -1] == 404 and len(x) == len(y) == len(used) and sorted(y) == sorted(i % 2 for i in used)
+    assert np.allclose(sorted(map(tuple, x)), sorted(want), atol=1e-6)
+
+
 def test_html_corner_cases(spark):
     page = "<html><body><nav><a href=x>Menu</a></nav><article><h1>T</h1><p>Some &amp; long\n text of an article, with words.</p><p>More of it here.</p></article><footer>f</footer></body></html>"
     rows = [(1, "u", page), (2, "u", None), (3, "u", ""), (4, "u", "<p>unclosed <b>tag"), (5, "u", "plain"), (6, "u", "<!-- open " + "<div>" * 3000)]

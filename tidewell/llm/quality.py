@@ -3,8 +3,9 @@
 The non-negative unbiased risk  pi * R_p(+1) + max(0, R_u(-1) - pi * R_p(-1))  is minimised for a linear model under
 squared loss, for which the risk of the unlabelled text is a quadratic form of its first and second moments. So the
 unlabelled side is every text of the corpus, gathered in one pass to one small matrix. Trusted positives are labelled
-rows of quality 1; the class prior pi is their share of the labelled rows used. Labelled rows are a sample of at most
-LABEL_ROWS, by a hash of doc_id; their margins also fit the two numbers of a logistic scale from margin to score.
+documents of quality 1; the class prior pi is their share of the labelled documents used. These are a sample of at most
+LABEL_ROWS, by a hash of doc_id; rows that repeat a doc_id count as one with the mean of their inputs. Their margins also
+fit the two numbers of a logistic scale from margin to score.
 
 Rows whose crc32(doc_id as text) mod 4 is 2 are held out: their labels are never read. Inputs of a score are counts over
 the whole text: characters by class, punctuation, hashed byte trigrams, and word and line repetition.
@@ -80,40 +81,53 @@ class Model:
 
 
 def _gather(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Moments of all texts (with a constant 1 as last input), and inputs and labels of the labelled sample."""
+    """Moments of all texts (with a constant 1 as last input), and inputs and labels of the labelled sample, one per doc_id."""
     sample = labels.where("doc_id is not null and quality is not null").where(~held_out()).groupBy("doc_id").agg(F.max("quality").alias("q"))
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABEL_ROWS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left").select("text", "q")
-    slots = max(1, isqrt(docs.rdd.getNumPartitions()))
-    schema = "slot int, q int, x binary"
+    parts = max(1, docs.rdd.getNumPartitions())
+    slots = isqrt(parts)
+    bucket = (-1 - F.pmod(F.xxhash64("doc_id"), F.lit(parts))).cast("int")  # labelled documents have slots below 0
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left").select("text", "q", F.when(F.col("q").isNotNull(), F.col("doc_id").cast("string")), bucket)
+    schema, names = "slot int, q int, id string, n bigint, x binary", ["slot", "q", "id", "n", "x"]
+
+    def table(own: dict) -> pa.Table:
+        """Labelled documents, with the sums of their rows' inputs."""
+        columns = [(pa.int32(), 0), (pa.int32(), 1), (pa.string(), None), (pa.int64(), 2)]
+        filled = [pa.array([i if at is None else v[at] for i, v in own.items()], kind) for kind, at in columns]
+        return pa.table([*filled, pa.array([v[3].tobytes() for v in own.values()], pa.binary())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((WIDTH + 1, WIDTH + 1))
-        names = ["slot", "q", "x"]
+        own: dict = {}
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 b = whole.slice(at, 512)
                 x = np.hstack([matrix(b.column(0)), np.ones((b.num_rows, 1))])
                 total += x.T @ x
-                q = b.column(1).to_pylist()
-                own = [(v, x[i, :-1].astype(np.float32).tobytes()) for i, v in enumerate(q) if v is not None]
-                if own:
-                    yield pa.RecordBatch.from_arrays([pa.array([-1] * len(own), pa.int32()), pa.array([v for v, _ in own], pa.int32()), pa.array([r for _, r in own], pa.binary())], names=names)
+                for i, (q, key, its) in enumerate(zip(*(b.column(c).to_pylist() for c in (1, 2, 3)), strict=True)):
+                    if q is not None:
+                        before = own.get(key, (0, 0, 0, 0))
+                        own[key] = its, q, before[2] + 1, before[3] + x[i, :-1]
+        yield from table(own).to_batches(2048)
         slot = TaskContext.get().partitionId() % slots
-        yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.nulls(1, pa.int32()), pa.array([total.tobytes()], pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.array([1], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=names)
 
     def merge(group: pa.Table) -> pa.Table:
         if group["slot"][0].as_py() < 0:
-            return group
+            own: dict = {}
+            for its, q, key, n, x in sorted(zip(*(c.to_pylist() for c in group.columns), strict=True), key=lambda r: r[2:]):
+                before = own.get(key, (0, 0, 0, 0))
+                own[key] = its, q, before[2] + n, before[3] + np.frombuffer(x)
+            return table(own).cast(group.schema)
         total = sum(np.frombuffer(x.as_py()) for x in group["x"])
-        return pa.table([group["slot"][:1], group["q"][:1], pa.array([total.tobytes()], pa.binary())], schema=group.schema)
+        return pa.table([group["slot"][:1], group["q"][:1], group["id"][:1], group["n"][:1], pa.array([total.tobytes()], pa.binary())], schema=group.schema)
 
-    # The driver gets a matrix per slot, and at most LABEL_ROWS rows of WIDTH numbers.
+    # The driver gets a matrix per slot, and at most LABEL_ROWS rows of WIDTH numbers, however often a doc_id repeats.
     dealt = rows.mapInArrow(run, schema)
     found = dealt.groupBy("slot").applyInArrow(merge, schema).collect()
     total = sum((np.frombuffer(r["x"]).reshape(WIDTH + 1, WIDTH + 1) for r in found if r["slot"] >= 0), np.zeros((WIDTH + 1, WIDTH + 1)))
     labelled = [r for r in found if r["slot"] < 0]
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in labelled], float).reshape(-1, WIDTH)
+    x = np.array([(np.frombuffer(r["x"]) / r["n"]).astype(np.float32) for r in labelled], float).reshape(-1, WIDTH)
     order = np.lexsort((*x.T, [r["q"] for r in labelled])) if len(x) else []
     return total, x[order], np.array([r["q"] for r in labelled])[order] if len(x) else np.zeros(0)
 
