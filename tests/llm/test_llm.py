@@ -268,6 +268,24 @@ def test_topk_against_all_scores(spark):
         assert [got[q, k + 1] for k in range(5)] == [(j, -s) for s, j in best]
 
 
+@pytest.mark.parametrize("group", [16_384, 60])
+def test_topk_of_repeated_ids(spark, monkeypatch, group):
+    monkeypatch.setattr(topk, "GROUP", group)
+    r = np.random.default_rng(6)
+    rows = [(i if i < 200 else 7, r.normal(size=8).tolist()) for i in range(300)]
+    rows += [(50, r.normal(size=8).tolist()) for _ in range(3)] + [rows[100]] * 2
+    v = topk.integer_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = sorted(map(tuple, topk.top_k(v, v.where("vec_id % 50 = 0")).collect()))
+    x, ids = np.floor(256 * np.array([e for _, e in rows])).astype(int), [i for i, _ in rows]
+    want = []
+    for q in range(0, 200, 50):
+        pairs = sorted((-int(x[a] @ x[b]), ids[b]) for a in range(len(ids)) for b in range(len(ids)) if ids[a] == q != ids[b])
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(pairs[:5])]
+    assert got == sorted(want)
+    hot = topk._dealt(v.where("vec_id = 7"), 4).groupBy("g").count().collect()
+    assert len(hot) == 4 and max(h["count"] for h in hot) < 60
+
+
 def test_chat_corner_cases(spark):
     rows = [(0, 0, "user", "q"), (0, 1, "assistant", "good"), (1, 0, "user", "q"), (1, 1, "assistant", None), (2, 0, None, "alone"), (None, 0, "user", "x")]
     got = sorted(map(tuple, chat.preference_rows(spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")).select("pair_id", "part", "role", "loss").collect()))

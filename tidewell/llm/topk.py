@@ -1,6 +1,6 @@
 """Exact top-k by inner product: ball trees per shard, searched by branch and bound.
 
-Vectors are dealt out to groups of about GROUP rows by a hash of their id, queries to blocks of about BLOCK; each pair
+Vectors are dealt out to groups of about GROUP rows by a hash of their id and row, queries to blocks of about BLOCK by a hash of id and vector; each pair
 of group and block is one task's work. A group builds shards of SHARD vectors, each a ball tree; a block of queries
 goes down each tree, nodes with the higher upper bound (q.center + |q| * radius) first, and leaves a node as soon as the
 bound is below its current k-th score. The k-th scores carry over from shard to shard, and start from a first search of
@@ -8,7 +8,8 @@ one group per query, so groups share them too. The k best of each group are merg
 
 Defined results: rows with a null id, a null vector, or null or non-finite components take no part; an empty vector has
 length 0 and scores 0 with its like; vectors are compared with vectors of their own length; a query is never its own
-answer (rows that repeat its id included); other repeated rows each take a rank; ties go to the smaller id; with fewer
+answer (rows that repeat its id included); other repeated rows each take a rank; every row of a repeated query id is
+searched, and the ranks go over the answers of all of them, as in the SQL (equal rows give equal answers, each ranked); ties go to the smaller id; with fewer
 than k candidates all are returned; an empty table gives an empty result.
 """
 
@@ -94,16 +95,22 @@ def search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, kth:
     return best_i, best_s
 
 
+def _dealt(vectors: DataFrame, groups: int) -> DataFrame:
+    """vectors with their group g; rows of one id spread over all groups."""
+    return vectors.withColumn("g", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(groups)).cast("int"))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score. vectors and queries: vec_id, v, dim (see integer_vectors)."""
     groups = max(1, -(-vectors.count() // GROUP))
     blocks = max(1, -(-queries.count() // BLOCK))
-    hashed = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
-    dealt = vectors.withColumn("g", hashed(groups, 1)).withColumn("b", F.explode(F.array(*map(F.lit, range(blocks)))))
-    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("v"), F.col("dim").alias("dim"), hashed(blocks, 2).alias("b"), hashed(groups, 3).alias("home"))
+    hashed = lambda n, seed: F.pmod(F.xxhash64("vec_id", "v", F.lit(seed)), F.lit(n)).cast("int")
+    dealt = _dealt(vectors, groups).withColumn("b", F.explode(F.array(*map(F.lit, range(blocks)))))
+    once = queries.groupBy("vec_id", "v", "dim").agg(F.count(F.lit(1)).alias("copies"))
+    asked = once.select("copies", F.col("vec_id").alias("query_id"), F.col("v").alias("v"), F.col("dim").alias("dim"), hashed(blocks, 2).alias("b"), hashed(groups, 3).alias("home"))
 
     def within(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("copies", pa.int64())])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         dim = left["dim"][0].as_py()
@@ -112,18 +119,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         kth = right["kth"].to_numpy()
         found, scores = search(ids, x, qids, q, kth, k)
         keep = (scores > LOW) & (scores >= kth[:, None])
-        return pa.table([np.repeat(qids, k)[keep.ravel()], found[keep], scores[keep]], schema=schema)
+        return pa.table([np.repeat(qids, k)[keep.ravel()], found[keep], scores[keep], np.repeat(right["copies"].to_numpy(), k)[keep.ravel()]], schema=schema)
 
     def run(asked_: DataFrame) -> DataFrame:
         keys = ("g", "b", "dim")
-        return dealt.groupBy(*keys).cogroup(asked_.groupBy(*keys)).applyInArrow(within, "query_id bigint, vec_id bigint, score bigint")
+        return dealt.groupBy(*keys).cogroup(asked_.groupBy(*keys)).applyInArrow(within, "query_id bigint, vec_id bigint, score bigint, copies bigint")
 
     if groups > 1:  # the k-th score of one group per query is where all its other searches start
         first = run(asked.withColumn("g", F.col("home")).withColumn("kth", F.lit(LOW)))
-        known = first.groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
-        asked = asked.join(known, "query_id", "left").withColumn("kth", F.coalesce("low", F.lit(LOW))).drop("low", "n")
+        nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
+        known = first.withColumn("n", nth).where(F.col("n") == k).select("query_id", F.col("score").alias("low"))
+        asked = asked.join(known, "query_id", "left").withColumn("kth", F.coalesce("low", F.lit(LOW))).drop("low")
     else:
         asked = asked.withColumn("kth", F.lit(LOW))
-    asked = asked.dropDuplicates(["query_id", "dim"]).withColumn("g", F.explode(F.array(*map(F.lit, range(groups)))))
+    asked = asked.withColumn("g", F.explode(F.array(*map(F.lit, range(groups)))))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return run(asked).withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = run(asked).withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)))))
+    return found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
