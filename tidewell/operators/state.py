@@ -1,4 +1,4 @@
-"""Queue, outbox, leases, dedup, checkpoints and schemas: logs of transitions folded to what holds at a given time."""
+"""Queue, outbox, leases: rows that can be taken at a given time. Dedup and schemas: logs folded to what holds then."""
 
 from __future__ import annotations
 
