@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: A key with over a HOT_SHARE-th of all rows is hot: join_counted() broadcasts up to so many keys.
+HOT_SHARE = 1_000
 #: Words of the contracts: runs of anything but blanks and the controls TAB to CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -44,6 +47,19 @@ def release(*tables: DataFrame) -> None:
             p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def join_counted(rows: DataFrame, groups: DataFrame, keys: list[str], n: str, how: str = "inner") -> DataFrame:
+    """rows joined to groups, which holds each key once, and in n how many of rows have it. rows: a table, as it is read twice.
+
+    Of keys that hold 1 / HOT_SHARE of all rows or more there are HOT_SHARE at most: these are broadcast, and their rows
+    stay where they are. All others meet by shuffle, in which no key is hot. how is inner or left; a null key finds nothing.
+    """
+    groups = materialize(groups, "groups")
+    total = groups.agg(F.sum(n)).first()[0] or 0
+    hot = F.broadcast(groups.where(F.col(n) * HOT_SHARE >= total))
+    cold = groups.where(F.col(n) * HOT_SHARE < total)
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys, how))
+
+
 def rows_of(df: DataFrame, *columns: str) -> DataFrame:
     """The columns asked for, and _rid, a number of each row.
 
@@ -53,12 +69,17 @@ def rows_of(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns, F.monotonically_increasing_id().alias("_rid"))
 
 
+def _brief(key: bytes) -> bytes:
+    return key if len(key) <= 32 else hashlib.sha256(key).digest() + b"#"
+
+
 def dense_names(df: DataFrame, key: str, ties: list[str], keep: list[str], near: str | None = None, tag: str = "names") -> DataFrame:
     """keep and `name`, the dense rank of the binary column key over all rows: equal keys, and only they, share a name.
 
     Rows are dealt out by ranges of (near or key, ties) and sorted, so a key that a third of the rows hold spreads over
     tasks. Each task numbers its runs of equal keys; one line per task (its first and last key, its number of runs)
-    goes to the driver, which chains them to offsets. The lines grow with the tasks, not the rows.
+    goes to the driver, which chains them to offsets. The lines grow with the tasks, not the rows, and are under 100 bytes:
+    a key over 32 bytes is told there by its SHA-256 digest, as all that counts is whether two tasks' border keys are equal.
 
     near: a hash column of key; it makes the sampled bounds small. If keys with the same hash meet at a border, names
     could split, so that case (two keys of one 64-bit hash) is named again by ranges of the whole key.
@@ -99,7 +120,7 @@ def dense_names(df: DataFrame, key: str, ties: list[str], keep: list[str], near:
             yield pa.RecordBatch.from_arrays([*out, pa.array(ranks, pa.int64()), pa.array([part] * m, pa.int32()), nul(pa.binary()), nul(pa.binary()), nul(pa.int64()), nul(pa.bool_())], names=[*keep, "_local", "_part", "_first", "_last", "_n", "_mixed"])
         if out is not None:
             own = [pa.nulls(1, c.type) for c in out]
-            yield pa.RecordBatch.from_arrays([*own, pa.nulls(1, pa.int64()), pa.array([part], pa.int32()), pa.array([first], pa.binary()), pa.array([last], pa.binary()), pa.array([n + 1], pa.int64()), pa.array([mixed])], names=[*keep, "_local", "_part", "_first", "_last", "_n", "_mixed"])
+            yield pa.RecordBatch.from_arrays([*own, pa.nulls(1, pa.int64()), pa.array([part], pa.int32()), pa.array([_brief(first)], pa.binary()), pa.array([_brief(last)], pa.binary()), pa.array([n + 1], pa.int64()), pa.array([mixed])], names=[*keep, "_local", "_part", "_first", "_last", "_n", "_mixed"])
 
     for f in schema.fields:
         f.nullable = True

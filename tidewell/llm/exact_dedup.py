@@ -6,7 +6,8 @@ mean equal texts, byte for byte: names are ranks in a sort, not hashes, so nothi
 
 Defined results: a null text is an empty text; empty texts are equal to each other; rows that repeat a doc_id stay
 separate rows, and of rows that tie for the largest doc_id the first of the scan stays; a null doc_id counts as the
-smallest. An empty table gives an empty result. Columns other than doc_id and text are not read.
+smallest. An empty table gives an empty result. Other columns pass through drop_exact_duplicates(), whatever their names;
+exact_duplicates() does not read them.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dense_names, materialize, rows_of
+from .common import dense_names, join_counted, materialize, rows_of
 
 BLOCK = 4096
 
@@ -25,10 +26,9 @@ def _pair(a: str, b: str) -> Column:
 
 
 def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """_rid, doc_id, sha (binary), n_blocks, name: (n_blocks, name) is the identity of a row's text."""
+    """_rid, doc_id, sha (binary), n_blocks, name: (n_blocks, name) is the identity of a row's text. docs: _rid, doc_id, text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs if "_rid" in docs.columns else rows_of(docs, "doc_id", "text")
-    rows = rows.select("_rid", "doc_id", F.encode(text, "utf-8").alias("_b"), text.alias("_t"))
+    rows = docs.select("_rid", "doc_id", F.encode(text, "utf-8").alias("_b"), text.alias("_t"))
     n = F.greatest(F.lit(1), F.ceil(F.length("_b") / F.lit(block)).cast("long"))
     blocks = rows.withColumn("n_blocks", n).withColumn("pos", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
     blocks = blocks.select(
@@ -56,21 +56,26 @@ def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return done
 
 
-def exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One row per row of docs: _rid, doc_id, keep_id, group_size, kept, text_sha256. The largest doc_id of equal texts stays."""
-    ids = identities(docs, block)
+def _decided(rows: DataFrame, block: int) -> DataFrame:
+    """The result of exact_duplicates() for rows (_rid, doc_id, text), with _rid."""
+    ids = materialize(identities(rows, block), "ids")
     best = F.max(F.struct(F.col("doc_id"), (-F.col("_rid")).alias("r")))
     groups = ids.groupBy("n_blocks", "name").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
-    return ids.join(groups, ["n_blocks", "name"]).select(
+    return join_counted(ids, groups, ["n_blocks", "name"], "group_size").select(
         "_rid", "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("_rid") == -F.col("best.r")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
     )
 
 
+def exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256. The largest doc_id of equal texts stays."""
+    return _decided(rows_of(docs, "doc_id", "text"), block).drop("_rid")
+
+
 def drop_exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """The rows of docs that stay, with all their columns.
 
     Rows are numbered once, in a table that both sides read: a second scan may be cut into other partitions.
     """
-    rows = materialize(docs.withColumn("_rid", F.monotonically_increasing_id()), "rows")
-    kept = exact_duplicates(rows, block).where("kept").select("_rid")
-    return rows.join(kept, "_rid", "left_semi").drop("_rid")
+    rows = materialize(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("_rid")), "rows")
+    kept = _decided(rows.select("_rid", "row.doc_id", "row.text"), block).where("kept").select("_rid")
+    return rows.join(kept, "_rid", "left_semi").select("row.*")

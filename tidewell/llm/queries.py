@@ -34,7 +34,7 @@ with d as (select doc_id, coalesce(text, '') as text from documents),
 select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, sha256(d.text) as text_sha256
 from d join g on d.text = g.text""")
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("_rid")
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 @query(r"""
