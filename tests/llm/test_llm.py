@@ -42,14 +42,15 @@ def test_fm_index_finds_the_first_document(seed):
     r = np.random.default_rng(seed)
     seqs = [r.integers(1, 4, r.integers(6, 15)) for _ in range(40)]
     own = r.permutation(40)
-    which, found = substring.FMIndex(seqs, own).firsts(own, 5)
+    found, offsets = substring.FMIndex(seqs, own, 5).firsts(seqs)
+    assert offsets.tolist() == [0, *np.cumsum([len(s) - 4 for s in seqs])]
     at = [(k, i) for k, s in enumerate(seqs) for i in range(len(s) - 4)]
-    for (k, i), w, f in zip(at, which, found, strict=True):
+    for (k, i), f in zip(at, found, strict=True):
         window = tuple(seqs[k][i : i + 5])
-        assert w == k and f == min(o for s, o in zip(seqs, own, strict=True) if window in {tuple(s[j : j + 5]) for j in range(len(s) - 4)})
+        assert f == min(o for s, o in zip(seqs, own, strict=True) if window in {tuple(s[j : j + 5]) for j in range(len(s) - 4)})
 
 
-@pytest.mark.parametrize("hot", [4_000, 0])
+@pytest.mark.parametrize("hot", [4_000, 3, 1, 0])
 def test_substring_corner_cases(spark, tmp_path, hot):
     texts = [LONG, None, "", "a b c", "x " * 5 + LONG, "same " * 200, LONG + " tail", "same " * 70]
     got = {r.doc_id: r for r in substring.remove_repeats(stored(spark, docs_of(spark, texts), tmp_path), hot=hot).collect()}
@@ -57,6 +58,40 @@ def test_substring_corner_cases(spark, tmp_path, hot):
     assert got[4].kept == " ".join(["x"] * 5) and got[6].kept == "tail" and got[1].n_words == 0
 
 
+@pytest.mark.parametrize("hot", [4_000, 4, 0])
+def test_substring_against_brute_force(spark, tmp_path, hot):
+    """Passages that many documents share, each in other words, whole and in parts, and repeated rows and ids."""
+    r = np.random.default_rng(hot)
+    passage = [f"p{i}" for i in range(70)]
+    rows = []
+    for i in range(60):
+        a, b = sorted(r.integers(0, 71, 2).tolist())
+        words = [f"x{i}y{j}" for j in range(r.integers(0, 60))] + passage[a:b] + [f"z{i % 7}" for _ in range(r.integers(0, 80))] + passage[:25] + [f"v{i}w{j}" for j in range(r.integers(0, 9))]
+        rows.append((int(r.integers(0, 50)), " ".join(words)))
+    rows += rows[:3] + [(None, rows[5][1]), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(((x.doc_id is None, x.doc_id or 0, x.n_words, x.n_removed, x.kept) for x in substring.remove_repeats(stored(spark, df, tmp_path), hot=hot).collect()))
+    first = {}
+    split = lambda t: (t or "").split()
+    windows = lambda w: [tuple(w[i : i + 50]) for i in range(len(w) - 49)]
+    for d, t in rows:
+        if d is not None:
+            for w in windows(split(t)):
+                first[w] = min(first.get(w, d), d)
+    want = []
+    for d, t in rows:
+        words, gone = split(t), set()
+        for i, w in enumerate(windows(words)):
+            if d is not None and first[w] < d:
+                gone |= set(range(i, i + 50))
+        want.append((d is None, d or 0, len(words), len(gone), " ".join(w for i, w in enumerate(words) if i not in gone)))
+    assert got == sorted(want) and any(x[3] for x in want)
+
+
+def test_substring_of_no_rows(spark, tmp_path):
+    assert substring.remove_repeats(stored(spark, docs_of(spark, []).limit(0), tmp_path)).collect() == []
+
+
 def brute_components(texts, n, num, den):
     sets = []
     for t in texts:
@@ -124,6 +159,23 @@ def test_exact_dedup_when_the_second_scan_has_other_partitions(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_exact_dedup_keeps_other_columns_repeated_and_null_ids(spark, tmp_path):
+    rows = [(1, "a", "x", 1), (1, "a", "y", 2), (None, "a", "z", 3), (2, None, None, None), (None, "", "u", 5)]
+    df = stored(spark, spark.createDataFrame(rows, "doc_id bigint, text string, _rid string, name bigint"), tmp_path)
+    kept = exact_dedup.drop_exact_duplicates(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r._rid in ("x", "y") or r._rid) for r in kept.collect()) == [(1, True), (2, None)]
+    assert exact_dedup.exact_duplicates(df.limit(0)).count() == 0
+
+
+def test_dense_names_of_long_keys_at_task_borders(spark):
+    from tidewell.llm.common import dense_names
+
+    keys = [(bytearray(b"k" * 5000 + bytes([i % 3])), i) for i in range(300)]
+    named = dense_names(spark.createDataFrame(keys, "key binary, i bigint"), "key", ["i"], ["i"]).collect()
+    assert {(r.i % 3, r.name) for r in named} == {(0, 0), (1, 1), (2, 2)} and len(named) == 300
+
+
 def test_mixing_targets_are_met(spark):
     r = np.random.default_rng(3)
     rows = [(i, "w " * int(r.integers(1, 30)), "en", [None, "a", "b", "c"][i % 4], 0) for i in range(4000)]
