@@ -46,8 +46,24 @@ def namespace() -> Column:
     return F.concat_ws(".", "db", "coll")
 
 
-def rfc3339(ts: str) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+def resume_key(db: Column | None, coll: Column | None, instance: str) -> Column:
+    """Under what a stream's place is kept: its namespace, with * for what it does not name, and the instance."""
+    return F.concat(db if db is not None else F.lit("*"), F.lit("."), coll if coll is not None else F.lit("*"), F.lit(":" + instance))
+
+
+def full_document(df: DataFrame, mode: str, image: str) -> DataFrame:
+    """Images of updates by mode: default (none), whenAvailable (as they are), required (a missing one is an error).
+
+    updateLookup is with_current(). Other operations keep theirs.
+    """
+    update = F.col("operation_type") == "update"
+    if mode == "default":
+        return df.withColumn(image, F.when(~update, F.col(image)))
+    if mode == "required":
+        return df.withColumn(image, F.when(update & F.col(image).isNull(), F.raise_error(F.lit("update without the required image"))).otherwise(F.col(image)))
+    if mode != "whenAvailable":
+        raise ValueError(f"full document mode {mode!r} is none of default, whenAvailable, required")
+    return df
 
 
 def payload(df: DataFrame, document: Column) -> DataFrame:
@@ -67,10 +83,12 @@ def fan_out(df: DataFrame, registered: Sequence[str]) -> DataFrame:
 
 
 def first_delivery(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """The first row of each key; rows with a null or empty key bypass the dedup."""
+    """The first row of each key; rows with a null or empty key bypass the dedup, each as a key of its own. One scan, combined before the shuffle."""
     keyed = F.length(F.coalesce(key, F.lit(""))) > 0
-    first = df.where(keyed).withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_n = 1").drop("_n")
-    return first.unionByName(df.where(~keyed))
+    own = F.when(~keyed, F.monotonically_increasing_id())
+    rest = [c for c in df.columns if c != key]
+    best = F.min(F.struct(*order, F.struct(*rest).alias("_row"))).alias("_best")
+    return df.groupBy(key, own.alias("_own")).agg(best).select(key, "_best._row.*").select(*df.columns)
 
 
 def with_current(changes: DataFrame, current: DataFrame, key: str) -> DataFrame:

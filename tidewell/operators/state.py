@@ -1,11 +1,11 @@
-"""Queue, outbox, leases: rows that can be taken at a given time. Dedup and schemas: logs folded to what holds then."""
+"""Queue, outbox, leases: rows that can be taken at a given time, and what maintenance makes of them. Dedup by time to live."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,9 +18,13 @@ def claim_batch(outbox: DataFrame, n: int) -> DataFrame:
     return outbox.where(F.col("status").isin("pending", "failed")).orderBy(F.desc("priority"), "created_at", "id").limit(n)
 
 
+def older(status: str, column: str, as_of: str, than: str) -> Column:
+    return (F.col("status") == status) & (F.col(column) < F.expr(f"timestamp_ntz '{as_of}' - interval {than}"))
+
+
 def stuck(df: DataFrame, status: str, column: str, as_of: str, older_than: str) -> DataFrame:
     """Rows of a status whose time lies strictly before as_of - older_than."""
-    return df.where((F.col("status") == status) & (F.col(column) < F.expr(f"timestamp_ntz '{as_of}' - interval {older_than}")))
+    return df.where(older(status, column, as_of, older_than))
 
 
 def recover(outbox: DataFrame, as_of: str, older_than: str) -> DataFrame:
@@ -73,12 +77,6 @@ def ttl_dedup(deliveries: DataFrame, ttl_seconds: int) -> DataFrame:
     return ordered.mapInArrow(walk, deliveries.schema)
 
 
-def accepted_schemas(log: DataFrame) -> DataFrame:
-    """The log with accepted: a version below the largest written before is rejected."""
-    before = F.max("version").over(Window.partitionBy("name").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
-    return log.withColumn("accepted", before.isNull() | (F.col("version") >= before))
-
-
 def capped(df: DataFrame, n: int, *newest: str) -> DataFrame:
     """The newest n rows."""
     return df.orderBy(*map(F.desc, newest)).limit(n)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.operators import changes, monitor, state
+from tidewell.functions import documents as D
+from tidewell.operators import changes, folds, monitor, state
 from tidewell.operators.monitor import Filter
 from tidewell.sources.adapters import EVENTS_NOW, ORDERS_NOW, duck, read
 
@@ -16,15 +17,15 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(tables: str, sql: str | None, name: str | None = None) -> Callable:
-    """Register a function of the record tables named, and SQL over the same names."""
+def query(tables: str, sql: str | None, name: str | None = None, with_: str = "") -> Callable:
+    """Register a function of the record tables named, and SQL over the same names (and those of the subqueries in with_)."""
     used = tables.split()
 
     def put(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         key = name or f.__name__
         QUERIES[key] = lambda spark, sf_dir: f(*(read(spark, sf_dir, t) for t in used))
         if sql:
-            ORACLES[key] = f"with {', '.join(map(duck, used))} {sql}"
+            ORACLES[key] = f"with {', '.join([*map(duck, used), *filter(None, [with_])])} {sql}"
         return f
 
     return put
@@ -67,7 +68,7 @@ def start_from_past(c: DataFrame) -> DataFrame:
 
 @query("change_events", f"select id, operation_type, db, coll, db || '.' || coll as namespace, document_key, {META} as clock from change_events")
 def normalize_changes(c: DataFrame) -> DataFrame:
-    return c.select("id", "operation_type", "db", "coll", changes.namespace().alias("namespace"), "document_key", changes.rfc3339("cluster_time").alias("clock"))
+    return c.select("id", "operation_type", "db", "coll", changes.namespace().alias("namespace"), "document_key", D.rfc3339(F.col("cluster_time")).alias("clock"))
 
 
 @query("change_events", """select id, case when operation_type = 'delete' then 'text/plain' else 'application/json' end as content_type,
@@ -80,7 +81,7 @@ def payload_shape(c: DataFrame) -> DataFrame:
 db as database, coll as collection, db || '.' || coll as namespace, document_key, {META} as cluster_time from change_events""")
 def metadata_map(c: DataFrame) -> DataFrame:
     kind = F.when(F.col("operation_type") == "delete", "text/plain").otherwise("application/json")
-    return c.select("id", kind.alias("content_type"), F.col("operation_type").alias("operation"), F.col("db").alias("database"), F.col("coll").alias("collection"), changes.namespace().alias("namespace"), "document_key", changes.rfc3339("cluster_time").alias("cluster_time"))
+    return c.select("id", kind.alias("content_type"), F.col("operation_type").alias("operation"), F.col("db").alias("database"), F.col("coll").alias("collection"), changes.namespace().alias("namespace"), "document_key", D.rfc3339(F.col("cluster_time")).alias("cluster_time"))
 
 
 @query("change_events", """select id, case when strlen('{"k":' || k || '}') <= 7 then '{"k":' || k || '}' end as updated_fields from change_events where operation_type = 'update'""")
@@ -90,8 +91,8 @@ def update_fields_size_cap(c: DataFrame) -> DataFrame:
 
 @query("change_events", "select id, cast(trunc(value) as bigint) as as_long, cast(k as double) as as_double from change_events")
 def field_extract_coerce(c: DataFrame) -> DataFrame:
-    v = F.parse_json(F.to_json(F.struct("value", "k")))
-    return c.select("id", F.try_variant_get(v, "$.value", "double").cast("long").alias("as_long"), F.try_variant_get(v, "$.k", "double").alias("as_double"))
+    fields = F.to_json(F.struct("value", "k"))
+    return c.select("id", D.field(fields, "value", "long").alias("as_long"), D.field(fields, "k", "double").alias("as_double"))
 
 
 @query("change_events", "select id, k is not null as has_k, false as has_other from change_events")
@@ -226,7 +227,7 @@ def outbox_retry_failed(o: DataFrame) -> DataFrame:
 
 @query("outbox", f"select id from outbox where not coalesce(status = 'published' and published_at < timestamp '{ORDERS_NOW}' - interval 1500 day, false)")
 def outbox_cleanup(o: DataFrame) -> DataFrame:
-    return o.join(state.stuck(o, "published", "published_at", ORDERS_NOW, "1500 days").select("id"), "id", "left_anti").select("id")
+    return folds.delete(o, state.older("published", "published_at", ORDERS_NOW, "1500 days")).select("id")
 
 
 @query("outbox", "select status, count(*) as n from outbox group by status")
@@ -247,7 +248,7 @@ def queue_stats(q: DataFrame) -> DataFrame:
 
 @query("queue", f"select seq from queue where not coalesce(status = 'acked' and acked_at < timestamp '{ORDERS_NOW}' - interval 1500 day, false)")
 def queue_purge(q: DataFrame) -> DataFrame:
-    return q.join(state.stuck(q, "acked", "acked_at", ORDERS_NOW, "1500 days").select("seq"), "seq", "left_anti").select("seq")
+    return folds.delete(q, state.older("acked", "acked_at", ORDERS_NOW, "1500 days")).select("seq")
 
 
 @query("queue", "select seq, 'pending' as status, retry_count + 1 as retry_count, cast(null as timestamp) as inflight_at from queue where status = 'inflight'")
@@ -304,13 +305,13 @@ _RUNNING = "select *, max(version) over (partition by name order by seq rows bet
 
 @query("schema_log", f"select name, version, written_at from (select *, row_number() over (partition by name order by seq desc) as n from ({_RUNNING}) where m is null or version >= m) where n = 1")
 def schema_current(s: DataFrame) -> DataFrame:
-    accepted = state.accepted_schemas(s).where("accepted")
+    accepted = folds.schema_versions(s).where("accepted")
     return changes.latest_per_key(accepted, ["name"], F.col("seq")).select("name", "version", "written_at")
 
 
 @query("schema_log", f"select name, count(*) as rejected from ({_RUNNING}) where version < m group by name")
 def schema_rejected_downgrades(s: DataFrame) -> DataFrame:
-    return state.accepted_schemas(s).where("not accepted").groupBy("name").agg(F.count(F.lit(1)).alias("rejected"))
+    return folds.schema_versions(s).where("not accepted").groupBy("name").agg(F.count(F.lit(1)).alias("rejected"))
 
 
 @query("outbox", "select id, created_at from outbox where (created_at, id) > (timestamp '1994-06-01 00:00:00', 0) order by created_at, id limit 100")

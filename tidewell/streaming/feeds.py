@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators import changes
-from tidewell.sources.adapters import ADAPTERS, SPARK_K
+from tidewell.sources.adapters import sql_text
 
 
 def folder(spark: SparkSession) -> str:
@@ -23,7 +23,7 @@ def change_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1)
     """Change events of landed files as a stream; its offsets in the checkpoint take the place of resume tokens."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     landed = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", files_per_trigger).parquet(sf_dir)
-    return spark.sql(ADAPTERS["change_events"].replace("{K}", SPARK_K).replace("from events", "from {events}"), events=landed)
+    return spark.sql(sql_text("change_events", "events"), events=landed)
 
 
 def drain(stream: DataFrame, sink: Callable[[DataFrame, int], None], spark: SparkSession) -> None:
