@@ -234,6 +234,45 @@ def test_quality_on_held_out_labels(spark):
     assert sum(r.predicted == r.quality for r in got) >= 0.95 * len(got)
 
 
+def test_quality_prior_and_scale_from_positives_and_unlabelled_alone():
+    r = np.random.default_rng(4)
+    for share in (0.2, 0.6, 0.9):
+        p = r.normal(1, 0.4, 4000)
+        u = np.concatenate([r.normal(1, 0.4, int(8000 * share)), r.normal(-1, 0.4, 8000 - int(8000 * share))])
+        prior = quality.class_prior(p, u)
+        assert abs(prior - share) < 0.03
+        a, b = quality._scale(p, u, prior)
+        assert ((1 / (1 + np.exp(-(a * u + b))) >= 0.7) == (u > 0)).mean() > 0.97
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.9])
+def test_quality_non_negative_risk(prior):
+    """The branch that holds the negative part at 0 or above, against risks summed over all points."""
+    r = np.random.default_rng(1)
+    d, n = 30, 25  # more inputs than the points of one side support: the plain solution makes the negative part negative
+    p, u = (np.hstack([r.normal(m, 1, (n, d)), np.ones((n, 1))]) for m in (0.2, 0.0))
+    loss = lambda x, y, w: ((1 - y * (x @ w)) ** 2).mean() / 4
+    negative = lambda w: loss(u, -1, w) - prior * loss(p, -1, w)
+    risk = lambda w: prior * loss(p, 1, w) + max(0.0, negative(w))
+    moments = (u.T @ u / n, u.mean(0), p.mean(0), p.T @ p / n)
+    w = quality._minimise(*moments, prior)
+    plain = np.linalg.solve(moments[0] / 2 + quality.RIDGE * np.eye(d + 1), prior * moments[2] - moments[1] / 2)
+    assert negative(w) >= 0 and risk(w) < risk(np.zeros(d + 1)) - 0.02
+    if negative(plain) >= 0:
+        assert np.allclose(w, plain)
+    else:
+        near = [risk(w + e) for scale in (0.01, 0.1) for e in r.normal(0, scale, (200, d + 1)) if negative(w + e) >= 0]
+        assert near and risk(w) <= min(near) + 0.01
+
+
+def test_quality_labels_that_differ_and_long_texts(spark):
+    docs = spark.createDataFrame([(i, ("good words here. " * 30 if i % 2 else "B@D!! 99 ") * (1 if i else 20_000)) for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, q, 0) for i in range(60) for q in ((0, 1) if i % 2 else (0,))], "doc_id bigint, quality int, toxic int")
+    got = quality.classify(docs, labels).collect()
+    assert len(got) == 60 and all(0 <= r.score <= 1 for r in got)
+    assert [r.predicted for r in sorted(got, key=lambda r: r.doc_id)][1:] == [i % 2 for i in range(1, 60)]  # the long text is unlike all others
+
+
 def test_quality_without_labels_or_rows(spark):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert quality.classify(docs_of(spark, ["a", None, ""]), labels).count() == 3

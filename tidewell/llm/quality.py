@@ -3,16 +3,19 @@
 The non-negative unbiased risk  pi * R_p(+1) + max(0, R_u(-1) - pi * R_p(-1))  is minimised for a linear model under
 squared loss, for which the risk of the unlabelled text is a quadratic form of its first and second moments. So the
 unlabelled side is every text of the corpus, gathered in one pass to one small matrix. Trusted positives are labelled
-documents of quality 1; the class prior pi is their share of the labelled documents used. These are a sample of at most
-LABEL_ROWS, by a hash of doc_id; rows that repeat a doc_id count as one with the mean of their inputs. Their margins also
-fit the two numbers of a logistic scale from margin to score.
+documents of quality 1; a label of 0 is never read. The labelled documents used are a sample of at most LABEL_ROWS, by a
+hash of doc_id; rows that repeat a doc_id count as one with the mean of their inputs. All of the sample, whatever its
+labels, is the unlabelled sample on which two things are estimated: the class prior pi, as the smallest ratio over margins
+t of the unlabelled share above t to that of the positives (where no negative is left above t, it is pi), and the logistic
+scale from margin to score, by the unbiased logistic risk  E_u log(1 + exp m) - pi E_p m  with a ridge.
 
 Rows whose crc32(doc_id as text) mod 4 is 2 are held out: their labels are never read. Inputs of a score are counts over
 the whole text: characters by class, punctuation, hashed byte trigrams, and word and line repetition.
 
 Defined results: a null text is an empty one and gets the score of its (empty) counts; a null doc_id is not held out;
-rows that repeat score alike; without usable labels every score is 0.5 or the model's plain margin; an empty table gives
-an empty result. Columns other than doc_id and text are not read.
+rows that repeat score alike; of labels of one doc_id that differ the largest counts; without a usable label of 1 every
+score is 0.5; an empty table gives an empty result. Columns other than doc_id and text are not read. Sums are added in the
+order of the tasks, so reruns over the same splits agree to the last bit.
 """
 
 from __future__ import annotations
@@ -109,8 +112,8 @@ def _gather(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray,
                         before = own.get(key, (0, 0, 0, 0))
                         own[key] = its, q, before[2] + 1, before[3] + x[i, :-1]
         yield from table(own).to_batches(2048)
-        slot = TaskContext.get().partitionId() % slots
-        yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.array([1], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=names)
+        part = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array([part % slots], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.array([part], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=names)
 
     def merge(group: pa.Table) -> pa.Table:
         if group["slot"][0].as_py() < 0:
@@ -119,13 +122,13 @@ def _gather(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray,
                 before = own.get(key, (0, 0, 0, 0))
                 own[key] = its, q, before[2] + n, before[3] + np.frombuffer(x)
             return table(own).cast(group.schema)
-        total = sum(np.frombuffer(x.as_py()) for x in group["x"])
+        total = sum(np.frombuffer(x) for _, x in sorted(zip(group["n"].to_pylist(), group["x"].to_pylist(), strict=True)))
         return pa.table([group["slot"][:1], group["q"][:1], group["id"][:1], group["n"][:1], pa.array([total.tobytes()], pa.binary())], schema=group.schema)
 
     # The driver gets a matrix per slot, and at most LABEL_ROWS rows of WIDTH numbers, however often a doc_id repeats.
     dealt = rows.mapInArrow(run, schema)
     found = dealt.groupBy("slot").applyInArrow(merge, schema).collect()
-    total = sum((np.frombuffer(r["x"]).reshape(WIDTH + 1, WIDTH + 1) for r in found if r["slot"] >= 0), np.zeros((WIDTH + 1, WIDTH + 1)))
+    total = sum((np.frombuffer(r["x"]).reshape(WIDTH + 1, WIDTH + 1) for r in sorted(found, key=lambda r: r["slot"]) if r["slot"] >= 0), np.zeros((WIDTH + 1, WIDTH + 1)))
     labelled = [r for r in found if r["slot"] < 0]
     x = np.array([(np.frombuffer(r["x"]) / r["n"]).astype(np.float32) for r in labelled], float).reshape(-1, WIDTH)
     order = np.lexsort((*x.T, [r["q"] for r in labelled])) if len(x) else []
@@ -140,24 +143,42 @@ def _minimise(uu: np.ndarray, u: np.ndarray, p: np.ndarray, pp: np.ndarray, prio
     negative = lambda w: (1 + 2 * w @ u + w @ uu @ w) / 4 - prior * (1 + 2 * w @ p + w @ pp @ w) / 4
     if negative(w) >= 0:
         return w
+    # The plain solution overfits: go down the whole risk where its negative part is not below 0, and up that part where
+    # it is, in ever shorter steps; of the points that keep it the best counts.
+    risk = lambda w: prior * (1 - 2 * w @ p + w @ pp @ w) / 4 + negative(w) + RIDGE * w @ w / 2
     w, step = np.zeros(d), 1 / (np.linalg.eigvalsh(uu + prior * pp)[-1] / 2 + RIDGE)
-    for _ in range(2000):
+    best, least = w, risk(w)
+    for k in range(2000):
         back = (u + uu @ w) / 2 - prior * (p + pp @ w) / 2
-        w = w - step * ((-prior * (p - pp @ w) / 2 + back + ridge @ w) if negative(w) >= 0 else -back)
-    return w
-
-
-def _logistic(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    a, b = 4.0, 0.0
-    if len(set(y.tolist())) < 2:
-        return a, b
-    t = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
-    for _ in range(50):
-        s = 1 / (1 + np.exp(-np.clip(a * m + b, -30, 30)))
-        g, v = s - t, s * (1 - s) + 1e-6
-        h = np.array([[(v * m * m).sum() + 1e-3, (v * m).sum()], [(v * m).sum(), v.sum() + 1e-3]])
-        da, db = np.linalg.solve(h, [(g * m).sum() + 1e-3 * a, g.sum()])
-        a, b = a - np.clip(da, -2, 2), b - np.clip(db, -2, 2)
+        w = w - step / (1 + k / 50) * ((-prior * (p - pp @ w) / 2 + back + ridge @ w) if negative(w) >= 0 else -back)
+        if negative(w) >= 0 and risk(w) < least:
+            best, least = w, risk(w)
+    return best
+
+
+def class_prior(p: np.ndarray, u: np.ndarray) -> float:
+    """The share of positives, from margins of positives and of unlabelled texts: the smallest ratio of their tails.
+
+    Tails hold at least half of the positives; a standard error is added to each ratio, as the smallest of many is too low.
+    """
+    at = np.unique(np.quantile(p, np.linspace(0, 0.5, 101)))
+    fp, fu = (1 - np.searchsorted(np.sort(m), at) / len(m) for m in (p, u))
+    noise = np.sqrt(fu * (1 - fu) / len(u)) + np.sqrt(fp * (1 - fp) / len(p))
+    return float(np.clip(((fu + noise) / fp).min(), 0.02, 0.98))
+
+
+def _scale(p: np.ndarray, u: np.ndarray, prior: float, ridge: float = 1e-2) -> tuple[float, float]:
+    """Slope and shift that minimise the unbiased logistic risk of the margins, by Newton's method (it is convex)."""
+    a, b = 1.0, 0.0
+    for _ in range(100):
+        s = 1 / (1 + np.exp(-np.clip(a * u + b, -30, 30)))
+        v = s * (1 - s)
+        g = np.array([(s * u).mean() - prior * p.mean() + ridge * a, s.mean() - prior])
+        h = np.array([[(v * u * u).mean() + ridge, (v * u).mean()], [(v * u).mean(), v.mean() + 1e-6]])
+        move = np.clip(np.linalg.solve(h, g), -1, 1)
+        a, b = a - move[0], b - move[1]
+        if np.abs(move).max() < 1e-9:
+            break
     return float(a), float(b)
 
 
@@ -172,12 +193,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     uu = to @ (total / n) @ to.T
     z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
     pos = z[y == 1]
-    prior = float(np.clip((y == 1).mean(), 0.02, 0.98)) if len(y) else 0.5
-    w = np.zeros(WIDTH + 1)
-    if len(pos):
+    if not len(pos):
+        return Model(mean, scale, np.zeros(WIDTH + 1), 1.0, 0.0, 0.5)
+    prior = 0.5
+    for _ in range(2):  # margins of a first model estimate the prior that the second one needs
         w = _minimise(uu, uu[-1], pos.mean(0), pos.T @ pos / len(pos), prior)
-    slope, shift = _logistic(z @ w, y.astype(float)) if len(y) else (4.0, 0.0)
-    return Model(mean, scale, w, slope, shift, prior)
+        prior = class_prior(pos @ w, z @ w)
+    w = _minimise(uu, uu[-1], pos.mean(0), pos.T @ pos / len(pos), prior)
+    return Model(mean, scale, w, *_scale(pos @ w, z @ w, prior), prior)
 
 
 def score_column(model: Model) -> Column:
