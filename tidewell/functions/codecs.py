@@ -7,6 +7,8 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.documents import base64_line
+
 ENVELOPE = "id string, source string, payload binary, metadata map<string,string>, timestamp timestamp_ntz, retry_count int"
 
 
@@ -23,7 +25,7 @@ class JsonEnvelope:
     content_type = "application/json"
 
     def encode(self, df: DataFrame) -> DataFrame:
-        return df.select(F.to_json(F.struct("id", "source", F.base64("payload").alias("payload"), "metadata", "timestamp", "retry_count")).alias("data"))
+        return df.select(F.to_json(F.struct("id", "source", base64_line(F.col("payload")).alias("payload"), "metadata", "timestamp", "retry_count")).alias("data"))
 
     def decode(self, df: DataFrame) -> DataFrame:
         """Data that is no envelope gives a row with nulls; no time is a null time, no count is 0."""

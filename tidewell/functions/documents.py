@@ -154,9 +154,14 @@ def worker_id(prefix: str, *seed: Column) -> Column:
     return F.concat(F.lit(prefix + "-"), token)
 
 
+def base64_line(data: Column) -> Column:
+    """Base64 without the line breaks that the function puts in."""
+    return F.regexp_replace(F.base64(data), r"[\r\n]", "")
+
+
 def cursor(**keys: Column) -> Column:
     """The opaque mark of a row in a listing: base64 of a JSON object of its keys."""
-    return F.base64(F.encode(F.to_json(F.struct(*(c.alias(k) for k, c in keys.items()))), "utf-8"))
+    return base64_line(F.encode(F.to_json(F.struct(*(c.alias(k) for k, c in keys.items()))), "utf-8"))
 
 
 def read_cursor(mark: str) -> dict:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators import changes, folds, state
-from tidewell.plans.registry import query
-from tidewell.sources.adapters import EVENTS_NOW, ORDERS_NOW
+from tidewell.plans.registry import ORACLES, query
+from tidewell.sources.adapters import EVENTS_NOW, ORDERS_NOW, duck
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
 FIRST = "select event_id, min(seq) as began, arg_min(moment, seq) as created_at from ack_log where op = 'store' group by event_id"
@@ -124,8 +124,6 @@ r(message_id, n, seq, op, won, status, worker_id, expires_at, created_at, update
 
 
 def _recursive(table: str, ctes: str, select: str) -> str:
-    from tidewell.sources.adapters import duck
-
     return f"with recursive {duck(table)}, {ctes} {select}"
 
 
@@ -209,8 +207,6 @@ def checkpoint_by_consumer(c: DataFrame) -> DataFrame:
 
 
 def _sql() -> None:
-    from tidewell.plans.registry import ORACLES
-
     ORACLES["lease_wins"] = _recursive("lease_log", _LEASES, "select message_id, seq, won from r where op = 'acquire'")
     last = "(select * from r qualify row_number() over (partition by message_id order by n desc) = 1)"
     ORACLES["lease_state"] = _recursive("lease_log", _LEASES, f"select message_id, status, worker_id, expires_at, created_at, updated_at from {last} where status is not null")
