@@ -416,6 +416,72 @@ def test_html_names_do_not_cut_the_article():
     assert html_text.main_text("<body><div class=comment><p>only readers speak here</p></div></body>") == "only readers speak here"
 
 
+def test_html_density_alone_finds_the_article():
+    """Real pages with all tags, classes, ids and roles that tell menus and articles made neutral."""
+    import pyarrow.parquet as pq
+
+    for page in pq.read_table(f"{SF}/pages.parquet")["html"].to_pylist():
+        article = re.search("<article>(.*)</article>", page, re.S)[1]
+        want = [" ".join(html_text.html.unescape(re.sub("</?b>", "", b)).split()) for b in re.split("<br>|</?p>|</?h1>", article)]
+        neutral = re.sub(' class="[^"]*"', "", re.sub(r"<(/?)(nav|article|footer|header|aside)\b", r"<\1div", page))
+        assert html_text.main_text(neutral).split("\n") == [b for b in want if b] == html_text.main_text(page).split("\n")
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_html_density_against_its_definition(seed):
+    import math
+
+    r = np.random.default_rng(seed)
+
+    def make(depth):
+        out = "x" * int(r.integers(0, 40))
+        for _ in range(r.integers(0, 4) if depth < 4 else 0):
+            tag = r.choice(["div", "p", "a", "b", "section"])
+            out += f"<{tag}>{make(depth + 1)}</{tag}>" + "y" * int(r.integers(0, 5))
+        return out
+
+    root = html_text.tree(make(0) + "<div>z</div>")
+    html_text.measure(root)
+    kids = lambda n: [k for k in n.kids if not isinstance(k, str)]
+    chars = lambda n: sum(len(k) if isinstance(k, str) else chars(k) for k in n.kids)
+    tags = lambda n: sum(1 + tags(k) for k in kids(n))
+    lchars = lambda n: chars(n) if n.tag == "a" else sum(map(lchars, kids(n)))
+    ltags = lambda n: tags(n) + 1 if n.tag == "a" else sum(map(ltags, kids(n)))
+    todo = [root]
+    while todo:
+        n = todo.pop()
+        todo += kids(n)
+        c, lc, t, lt = chars(n), max(lchars(n), 1), max(tags(n), 1), max(ltags(n), 1)
+        base = math.log(c / max(c - lchars(n), 1) * lc + lchars(root) / max(chars(root), 1) * c + math.e)
+        assert math.isclose(n.density, c / t * math.log(max(c / lc * t / lt, 1) + 1) / base if c else 0.0)
+        assert math.isclose(n.total, sum(k.density for k in kids(n) if k.tag in html_text.BLOCK_TAGS))
+
+
+def test_html_keeps_headers_and_named_prose_of_an_article():
+    text = "some words of the article " * 8
+    page = f"<body><header><h1>Site</h1></header><article><header><h1>T</h1></header><p>{text}1</p><div class='share-price'>It costs 5 now</div><section id=search><p>{text}2</p></section><div class='social-share'>Share it</div><footer>By me</footer></article></body>"
+    assert html_text.main_text(page).split("\n") == ["T", f"{text}1", "It costs 5 now", f"{text}2"]
+
+
+def test_html_time_grows_with_the_page():
+    import time
+
+    odd = ["<div>" * n + "</span>" * n + "<b>" * n + "<p>x" * n + "</i>" * n for n in (2_000, 50_000)]
+    spent = []
+    for page in odd:
+        began = time.perf_counter()
+        html_text.main_text(page)
+        spent.append(time.perf_counter() - began)
+    assert spent[1] < 100 * spent[0] + 1  # 25 times the page
+
+
+def test_html_repeated_rows_names_and_no_rows(spark):
+    rows = [(1, "u", "<p>a", "old"), (1, "u", "<p>a", "old"), (None, None, None, None)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")).collect()
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "", 0), (1, "a", 1), (1, "a", 1)]
+    assert html_text.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
+
+
 def test_topk_against_all_scores(spark):
     r = np.random.default_rng(5)
     rows = [(i, r.normal(size=8).tolist()) for i in range(300)] + [(300, None), (301, [None] * 8), (302, [float("nan")] * 8), (None, [0.0] * 8)]

@@ -1,27 +1,29 @@
 """Main text of web pages by composite text density.
 
 Each page becomes a tree. A node's density is its characters per tag, lowered as the share of characters and tags inside
-links grows; its density sum adds the densities of its children. The subtree with the largest density sum holds the
-article. The smallest density on the path from it to the body is the threshold: from the body down, every node that
-reaches the threshold gives its own subtree of the largest density sum.
-
-A density grows with the size of a subtree, so these subtrees only find the article. What is given is all uncut text of
-the region around it: the outermost <article> or <main> that holds it (with the other ones that hold prose), or, on pages
-without, the smallest ancestor that holds every subtree found and every block of prose (mostly outside links, and of
-LEAST characters or an element of PROSE). Of that ancestor only blocks of links beside the path to the article stay out.
-A region without an h1 takes the headings that stand before it. Menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments are cut from the tree before, by tag, role, class and id.
-
-Cuts by class or id, and of forms, are judged by what they would take. A name that takes over half of the page's text
-outside links (of the text of its only <main> or <article>, if that stands outside all names) cuts nothing on that page,
-and no name cuts what holds a <main>, or the page's only <article>. Pieces of
-a name after has-, no-, with- and the like do not count. Reader comments are left out of that half, unless the page has
-less than LEAST characters besides.
-
-Defined results: a null or empty page, or one without text, has an empty text; tags that never close end with the page;
-an unclosed comment, script or tag runs to the
-end; text in no tag belongs to the body; rows that repeat are extracted each;
-an empty table gives an empty result. Extra columns pass through.
+links grows; its density sum adds the densities of its children. Over the tree of all that is shown, but for forms and reader
+comments, the subtree with the largest density sum holds the article; if that is a mere frame, whose blocks are no prose of
+their own, the part with most of its sum does, and so on down. The smallest density on the path from there to the body is the
+threshold: other nodes that reach it, and whose density sum is SHARE of the article's or more, or that are elements of prose,
+belong to it too.
+
+What is given is the smallest region that holds all these: the outermost <article> or <main> around the article (with the
+other ones that hold prose), or the smallest ancestor of them all, of which blocks of links beside the path to the article stay
+out. A region without an h1 takes the headings that stand before it. What density cannot tell is then left out of it by
+tag, role, class and id: menus, headers, footers, sidebars, notices, adverts. A header that holds a heading of an article
+stays.
+
+Labels by class or id, and forms, are judged by what they would take. A class counts if all its words are among those of such
+parts or mere layout words (share-price does not), and words after has-, no-, with- and the like do not. Names of
+WEAK_WORDS take nothing that holds a paragraph of LEAST characters. A name that takes over half of the page's text
+outside links (of the text of its only <main> or <article>, if that stands outside all names) takes nothing on that page,
+and no name takes what holds a <main>, or the page's only <article>. Reader comments are left out of that half, unless the
+page has less than LEAST characters besides.
+
+Defined results: a null or empty page, or one without text, has an empty text; tags that never close end with the page; end
+tags without a start are nothing; an unclosed comment, script or tag runs to the end; text in no tag belongs to the body; rows
+that repeat are extracted each; an empty table gives an empty result. The time grows in proportion to the page. Extra
+columns pass through.
 """
 
 from __future__ import annotations
@@ -35,11 +37,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-# Elements that never hold an article, that stand alone, and that break a line of text.
-CUT_TAGS = frozenset("nav header footer aside script style noscript template iframe object embed svg canvas button select option textarea input label fieldset dialog menu title head".split())
+SHARE = 0.2
+# Elements that are not shown or take input, that frame an article, that stand alone, and that break a line of text.
+CUT_TAGS = frozenset("script style noscript template iframe object embed svg canvas button select option textarea input label fieldset dialog title head".split())
+FRAME_TAGS = frozenset("nav header footer aside menu".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK_TAGS = frozenset("address article blockquote body br dd div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre section table tbody td tfoot th thead tr ul details summary center".split())
 CUT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup modal newsletter subscribe signup nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget related share sharing social comment comments disqus respond reply replies pagination pager toolbar login search skip".split())
+WEAK_WORDS = frozenset("search header widget toolbar login skip related".split())
+LAYOUT_WORDS = frozenset("site page main post posts top bottom left right box bar block wrap wrapper container inner outer list links link item items icon icons btn button buttons area section column col row primary secondary global mobile desktop sticky fixed text image images slot unit large small".split())
 READER_WORDS = frozenset("comment comments disqus respond reply replies".split())
 NEGATING = frozenset("has no not non with without".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
@@ -54,34 +60,41 @@ RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW_TAGS}
 
 
 class Node:
-    __slots__ = ("tag", "kids", "cut", "names", "chars", "link_chars", "head_chars", "tags", "link_tags", "density", "total", "best")
+    """cut: no part of the tree that is measured; out: no part of the text that is given."""
 
-    def __init__(self, tag: str, cut: bool, names: frozenset[str] = frozenset()):
-        self.tag, self.cut, self.names = tag, cut, names
+    __slots__ = ("tag", "kids", "cut", "out", "names", "chars", "link_chars", "head_chars", "tags", "link_tags", "density", "total")
+
+    def __init__(self, tag: str, cut: bool, out: bool = False, names: frozenset[str] = frozenset()):
+        self.tag, self.cut, self.out, self.names = tag, cut, out, names
         self.kids: list = []
 
 
-def _cut_and_names(tag: str, attributes: str) -> tuple[bool, frozenset[str]]:
-    """Whether the element is cut whatever it holds, and the words by which it may be."""
+def _labels(tag: str, attributes: str) -> tuple[bool, bool, frozenset[str]]:
+    """Whether the element is cut and left out whatever it holds, and the words by which it may be."""
     names = {"form"} if tag == "form" else set()
     if tag in CUT_TAGS:
-        return True, frozenset()
+        return True, True, frozenset()
+    out = tag in FRAME_TAGS
     for name, a, b, c in ATTRIBUTE.findall(attributes) if attributes else ():
         value, name = (a or b or c).lower(), name.lower()
-        if name == "role" and value in CUT_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True, frozenset()
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            return True, True, frozenset()
+        if name == "role" and value in CUT_ROLES:
+            out = True
         if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
             for one in value.split():
-                for piece in re.split(r"[^a-z0-9]+", one):
+                pieces = [x for x in re.split(r"[^a-z0-9]+", one) if x]
+                for i, piece in enumerate(pieces):
                     if piece in NEGATING:
+                        del pieces[i:]
                         break
-                    if piece in CUT_WORDS:
-                        names.add(piece)
-    return False, frozenset(names)
+                if all(x in CUT_WORDS or x in LAYOUT_WORDS for x in pieces):
+                    names.update(x for x in pieces if x in CUT_WORDS)
+    return False, out, frozenset(names)
 
 
-def _cut_by_names(root: Node) -> None:
-    """Cut the elements with names, but for those that would take the article with them."""
+def _judge_names(root: Node) -> None:
+    """Leave out the elements with names, but for those that would take the article with them; cut forms and reader comments."""
     shares: Counter = Counter()  # characters outside links, by the names of all elements around them
     within: dict[int, Counter] = {}  # the same of each outermost article and main
     named, homes, todo = [], [], [(root, frozenset(), None, False, False, None)]
@@ -115,13 +128,13 @@ def _cut_by_names(root: Node) -> None:
         for names in above:
             taken[names] += size
     for n in named:
-        n.cut = 2 * taken[n.names] <= own.total()
+        n.out = 2 * taken[n.names] <= own.total() and not (n.names <= WEAK_WORDS and _holds_prose(n))
 
     def around(up: tuple | None) -> list[Node]:
         found = []
         while up:
             n, up = up
-            if n.cut:
+            if n.out:
                 found.append(n)
         return found
 
@@ -131,13 +144,36 @@ def _cut_by_names(root: Node) -> None:
     if len(articles) == 1:
         keep += articles[0]
     for n in keep:
-        n.cut = False
+        n.out = False
+    for n in named:
+        n.cut = n.out and bool(n.names & (READER_WORDS | {"form"}))
+
+
+def _holds_prose(node: Node) -> bool:
+    """Whether a paragraph of LEAST characters outside links is in it."""
+    todo = [node]
+    while todo:
+        n = todo.pop()
+        if n.tag == "p" and sum(len(" ".join(k.split())) for k in n.kids if isinstance(k, str)) >= LEAST:
+            return True
+        todo += [k for k in n.kids if not isinstance(k, str) and not k.cut and k.tag != "a"]
+    return False
 
 
 def tree(page: str) -> Node:
     """The page's tree below its body. A block closes an open paragraph, an item an open item."""
     root = Node("body", False)
     stack, at, end = [root], 0, len(page)
+    open_: dict[str, list[int]] = {}  # where in the stack each tag is open
+    blocks: list[int] = []
+
+    def close(i: int) -> None:
+        for n in reversed(stack[i:]):
+            open_[n.tag].pop()
+            if n.tag in BLOCK_TAGS:
+                blocks.pop()
+        del stack[i:]
+
     while at < end:
         m = TOKEN.search(page, at)
         if text := page[at : m.start() if m else end]:
@@ -149,26 +185,22 @@ def tree(page: str) -> Node:
         if not tag or tag in ("html", "body"):
             continue
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if open_.get(tag):
+                close(open_[tag][-1])
             continue
-        if tag in BLOCK_TAGS and tag != "br":
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p" or stack[i].tag == tag == "li":
-                    del stack[i:]
-                    break
-                if stack[i].tag in BLOCK_TAGS:
-                    break
-        node = Node(tag, *_cut_and_names(tag, m[3] or ""))
+        if tag in BLOCK_TAGS and tag != "br" and blocks and (stack[blocks[-1]].tag == "p" or stack[blocks[-1]].tag == tag == "li"):
+            close(blocks[-1])
+        node = Node(tag, *_labels(tag, m[3] or ""))
         stack[-1].kids.append(node)
         if tag in RAW_END:
             stop = RAW_END[tag].search(page, at)
             at = stop.end() if stop else end
         elif tag not in VOID_TAGS and not (m[3] or "").endswith("/"):
+            open_.setdefault(tag, []).append(len(stack))
+            if tag in BLOCK_TAGS:
+                blocks.append(len(stack))
             stack.append(node)
-    _cut_by_names(root)
+    _judge_names(root)
     return root
 
 
@@ -196,7 +228,6 @@ def measure(root: Node) -> list[Node]:
         n.density = c / t * math.log(max(c / lc * t / lt, 1) + 1) / base if c else 0.0
         kids = [k for k in n.kids if not isinstance(k, str) and not k.cut]
         n.total = sum(k.density for k in kids if k.tag in BLOCK_TAGS)  # not of inline marks, which repeat their block
-        n.best = max([n, *(k.best for k in kids)], key=lambda x: x.total)
     return nodes
 
 
@@ -208,18 +239,19 @@ def _text(node: Node, skip: set[int] = frozenset()) -> str:
             blocks.append(text)
         line.clear()
 
-    todo: list = [node]
+    todo: list = [(node, False)]
     while todo:
-        x = todo.pop()
+        x, in_article = todo.pop()
         if x is None:
             close()
         elif isinstance(x, str):
             line.append(x)
-        elif not x.cut and id(x) not in skip:
+        elif not x.cut and id(x) not in skip and (not x.out or in_article and x.tag == "header" and not x.names and x.head_chars):
             if x.tag in BLOCK_TAGS:
                 close()
-                todo.append(None)
-            todo += reversed(x.kids)
+                todo.append((None, False))
+            inside = in_article or x.tag in ("article", "main")
+            todo += [(k, inside) for k in reversed(x.kids)]
     close()
     return "\n".join(blocks)
 
@@ -228,24 +260,48 @@ def _linked(n: Node) -> bool:
     return 2 * n.link_chars >= n.chars
 
 
-def _region(nodes: list[Node], parents: dict[int, Node], best: Node, found: list[Node]) -> tuple[set[int], set[int]]:
+def _blocks(n: Node) -> list[Node]:
+    return [k for k in n.kids if not isinstance(k, str) and not k.cut and not k.out and k.tag in BLOCK_TAGS]
+
+
+def _article(nodes: list[Node], parents: dict[int, Node]) -> Node:
+    """The node that holds the article, by density sums."""
+    labelled = set()
+    for n in nodes:
+        up = parents.get(id(n))
+        if n.out or up is not None and id(up) in labelled:
+            labelled.add(id(n))
+    best = max((n for n in nodes if id(n) not in labelled and n.tag in BLOCK_TAGS), key=lambda n: n.total, default=nodes[0])
+    while True:  # a frame of other blocks than prose: down to the part with most of the sum
+        parts = _blocks(best)
+        if not parts or any((k.tag in PROSE or k.tag in HEADINGS) and not _linked(k) for k in parts):
+            return best
+        most = max(parts, key=lambda k: k.total)
+        if 2 * most.total <= sum(k.total for k in parts):
+            return best
+        best = most
+
+
+def _region(nodes: list[Node], parents: dict[int, Node], best: Node, threshold: float) -> tuple[set[int], set[int]]:
     """Ids of the nodes whose text is given, and of the blocks of links in them that are not."""
-    dense = {id(x) for x in [*found, best]}
-    dense |= {id(n) for n in nodes if not _linked(n) and (n.tag in PROSE or n.chars - n.link_chars >= LEAST)}
+    dense = {id(best)}
+    for n in nodes:
+        if not n.out and not _linked(n) and n.tag in BLOCK_TAGS and (n.tag in PROSE or n.density >= threshold and n.total >= SHARE * best.total > 0):
+            dense.add(id(n))
     for n in reversed(nodes):
-        if id(n) in dense and (p := parents.get(id(n))):
+        if id(n) in dense and not n.out and (p := parents.get(id(n))) is not None:
             dense.add(id(p))
     home, n = None, best
     while n is not None:
         home, n = n if n.tag in ("article", "main") else home, parents.get(id(n))
     region, skip, beside, n = home or best, set(), set(), home or best
     while not home and (p := parents.get(id(n))) is not None:
-        others = [k for k in p.kids if k is not n and (isinstance(k, str) or not k.cut)]
+        others = [k for k in p.kids if k is not n and (isinstance(k, str) or not k.cut and not k.out)]
         beside |= {id(k) for k in others if not isinstance(k, str) and k.tag in BLOCK_TAGS and _linked(k) and id(k) not in dense}
         if any(len(" ".join(k.split())) >= LEAST if isinstance(k, str) else id(k) in dense for k in others):
             region, skip = p, skip | beside
         n = p
-    keep = {id(x) for x in [region, *found]}
+    keep = {id(region)}
     if home:
         keep |= {id(x) for x in nodes if x.tag in ("article", "main") and id(x) in dense}
     if not any(x.tag == "h1" for x in _below(region)):
@@ -254,7 +310,7 @@ def _region(nodes: list[Node], parents: dict[int, Node], best: Node, found: list
             for k in p.kids:
                 if k is n:
                     break
-                if not isinstance(k, str) and not k.cut and k.chars and k.head_chars == k.chars and not _linked(k):
+                if not isinstance(k, str) and not k.cut and not k.out and k.chars and k.head_chars == k.chars and not _linked(k):
                     keep.add(id(k))
             n = p
     return keep, skip
@@ -268,26 +324,18 @@ def main_text(page: str | None) -> str:
     if not root.chars:
         return ""
     parents = {id(k): n for n in nodes for k in n.kids if not isinstance(k, str)}
-    best = root.best
-    while best.tag not in BLOCK_TAGS:
-        best = parents[id(best)]
+    best = _article(nodes, parents)
     threshold, n = best.density, best
     while (n := parents.get(id(n))) is not None:
         threshold = min(threshold, n.density)
-    # From the body down: the subtrees of the largest sums among nodes that reach the threshold.
-    found, seen = [], set()
-    for n in nodes:
-        if n.density >= threshold and id(n.best) not in seen and n.best.tag in BLOCK_TAGS:
-            seen.add(id(n.best))
-            found.append(n.best)
-    keep, skip = _region(nodes, parents, best, found)
+    keep, skip = _region(nodes, parents, best, threshold)
     out, todo = [], [root]
     while todo:
         x = todo.pop()
         if id(x) in keep:
             out.append(_text(x, skip))
         else:
-            todo += [k for k in reversed(x.kids) if not isinstance(k, str) and not k.cut]
+            todo += [k for k in reversed(x.kids) if not isinstance(k, str) and not k.cut and not k.out]
     return "\n".join(t for t in out if t)
 
 
