@@ -507,8 +507,26 @@ def test_topk_of_repeated_ids(spark, monkeypatch, group):
         pairs = sorted((-int(x[a] @ x[b]), ids[b]) for a in range(len(ids)) for b in range(len(ids)) if ids[a] == q != ids[b])
         want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(pairs[:5])]
     assert got == sorted(want)
-    hot = topk._dealt(v.where("vec_id = 7"), 4).groupBy("g").count().collect()
-    assert len(hot) == 4 and max(h["count"] for h in hot) < 60
+
+
+@pytest.mark.parametrize("group", [16_384, 40])
+def test_topk_of_clusters_ties_and_few_candidates(spark, monkeypatch, group):
+    """Many cells and shards: clusters of which the far ones are never asked, a vector that a third of the rows hold, ties, and lengths with few rows."""
+    monkeypatch.setattr(topk, "GROUP", group)
+    r = np.random.default_rng(8)
+    rows = [(i, (r.normal(size=6) + 40 * (i % 5)).tolist()) for i in range(400)] + [(400 + i, [3.0] * 6) for i in range(200)]
+    rows += [(1000, [1.0, 2.0]), (1050, [2.0, 1.0]), (1051, [2.0, 1.0]), (1100, []), (1101, []), (1150, [5.0])]
+    v = topk.integer_vectors(spark.createDataFrame([(*x, "e") for x in rows], "vec_id bigint, embedding array<double>, v string"))
+    got = sorted(map(tuple, topk.top_k(v, v.where("vec_id % 50 = 0")).collect()))
+    want = []
+    for q, x in rows:
+        if q % 50 == 0:
+            a = np.floor(256 * np.array(x))
+            best = sorted((-int(a @ np.floor(256 * np.array(y))), j) for j, y in rows if j != q and len(y) == len(x))[:5]
+            want += [(q, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    assert got == sorted(want)
+    assert topk.top_k(v.limit(0), v.limit(0)).count() == 0
+    assert topk.top_k(v.where("vec_id < 3"), v.where("vec_id = 0")).count() == 2
 
 
 def test_chat_corner_cases(spark):
