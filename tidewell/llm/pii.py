@@ -161,6 +161,22 @@ def _gate(x: np.ndarray) -> np.ndarray:
     return np.clip(x * 0.25 + 0.5, 0, 1)
 
 
+def _bend(x: np.ndarray) -> np.ndarray:
+    """A rational curve like tanh: -1 and 1 from -3 and 3 on."""
+    u = np.clip(x, -3, 3)
+    v = u * u
+    u *= v + 27
+    v *= 9
+    v += 27
+    u /= v
+    return u
+
+
+def _bend_slope(x: np.ndarray) -> np.ndarray:
+    v = np.minimum(x * x, 9)
+    return np.where(v < 9, ((27 + 3 * v) * (27 + 9 * v) - 18 * v * (27 + v)) / (27 + 9 * v) ** 2, 0)
+
+
 class Tagger:
     """Two LSTMs, one in each direction, over character classes; their states give scores of tags to a CRF."""
 
@@ -182,11 +198,12 @@ class Tagger:
         for t in range(x.shape[1]):
             z = self.p[d + "x"][x[:, t]] + state @ self.p[d + "h"]
             gates = _gate(z[:, : 3 * h])
-            new = np.tanh(z[:, 3 * h :])
+            raw = z[:, 3 * h :]
+            new = _bend(raw)
             i, f, o = gates[:, :h], gates[:, h : 2 * h], gates[:, 2 * h :]
             before, cell = cell, f * cell + i * new
-            bent = np.tanh(cell)
-            keep.append((state, before, i, f, o, new, bent))
+            bent = _bend(cell)
+            keep.append((state, before, i, f, o, new, bent, raw, cell))
             state = o * bent
             out[t] = state
         return out
@@ -195,11 +212,11 @@ class Tagger:
         gx, gh = np.zeros_like(self.p[d + "x"]), np.zeros_like(self.p[d + "h"])
         dstate, dcell = np.zeros_like(dout[0]), np.zeros_like(dout[0])
         for t in reversed(range(x.shape[1])):
-            state, before, i, f, o, new, bent = kept[t]
+            state, before, i, f, o, new, bent, raw, cell = kept[t]
             dh = dout[t] + dstate
-            dc = dcell + dh * o * (1 - bent**2)
+            dc = dcell + dh * o * _bend_slope(cell)
             slope = [0.25 * ((g > 0) & (g < 1)) for g in (i, f, o)]
-            dz = np.concatenate([dc * new * slope[0], dc * before * slope[1], dh * bent * slope[2], dc * i * (1 - new**2)], 1)
+            dz = np.concatenate([dc * new * slope[0], dc * before * slope[1], dh * bent * slope[2], dc * i * _bend_slope(raw)], 1)
             gx += np.eye(CLASSES, dtype=self.kind)[x[:, t]].T @ dz
             gh += state.T @ dz
             dstate, dcell = dz @ self.p[d + "h"].T, dc * f
@@ -259,23 +276,24 @@ class Tagger:
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Scores of tags (rows, time, TAGS) of windows x (rows, time), both directions side by side."""
         h, (rows, time) = self.hidden, x.shape
-        scale = np.repeat([0.25, 0.25, 0.25, 1.0], h).astype(self.kind)
-        shift = np.repeat([0.5, 0.5, 0.5, 0.0], h).astype(self.kind)
-        table, inner = np.concatenate([self.p["fx"], self.p["bx"]]) * scale + shift, np.stack([self.p["fh"], self.p["bh"]]) * scale
+        # Gates first, then directions: (gate, direction, row, unit), so that each gate lies in one piece.
+        scale, shift = (np.array(v, self.kind)[:, None, None, None] for v in ((0.25, 0.25, 0.25, 1), (0.5, 0.5, 0.5, 0)))
+        by_gate = lambda k, n: np.stack([self.p["f" + k], self.p["b" + k]]).reshape(2, n, 4, h).transpose(2, 0, 1, 3) * scale
+        inner, table = by_gate("h", h), (by_gate("x", CLASSES) + shift).reshape(4, 2 * CLASSES, h)
         state, cell = np.zeros((2, rows, h), self.kind), np.zeros((2, rows, h), self.kind)
-        out, z = np.empty((time, rows, 2 * h), self.kind), np.empty((2, rows, 4 * h), self.kind)
+        out, z = np.empty((2, time, rows, h), self.kind), np.empty((4, 2, rows, h), self.kind)
         codes = np.stack([x.T, x.T[::-1] + CLASSES], 1)
         for t in range(time):
             np.matmul(state, inner, out=z)
-            z += table.take(codes[t], axis=0)
-            gates, new = z[:, :, : 3 * h], np.tanh(z[:, :, 3 * h :])
-            np.clip(gates, 0, 1, out=gates)
-            cell *= z[:, :, h : 2 * h]
-            new *= z[:, :, :h]
+            z += table.take(codes[t], axis=1)
+            np.clip(z[:3], 0, 1, out=z[:3])
+            new = _bend(z[3])
+            new *= z[0]
+            cell *= z[1]
             cell += new
-            np.multiply(z[:, :, 2 * h : 3 * h], np.tanh(cell), out=state)
-            out[t, :, :h], out[time - 1 - t, :, h:] = state[0], state[1]
-        return (out @ self.p["o"] + self.p["c"]).transpose(1, 0, 2)
+            np.multiply(z[2], _bend(cell), out=state)
+            out[0, t], out[1, time - 1 - t] = state[0], state[1]
+        return (out[0] @ self.p["o"][:h] + out[1] @ self.p["o"][h:] + self.p["c"]).transpose(1, 0, 2)
 
     def margin(self) -> float:
         """The most that two transitions can gain over the same with no span between them, or one at an end of the text."""
@@ -328,7 +346,7 @@ class Tagger:
             own, k, at = chunks[b : b + BLOCK], owner[b : b + BLOCK], start[b : b + BLOCK]
             sizes = np.array([len(c) for c in own])
             e = np.zeros((len(own), WINDOW, TAGS), self.kind)
-            for rows in np.array_split((-sizes).argsort(kind="stable"), -(-len(own) // 512)):
+            for rows in np.array_split((-sizes).argsort(kind="stable"), -(-len(own) // 1024)):
                 x = np.full((len(rows), int(sizes[rows].max())), PAD)
                 for i, r in enumerate(rows):
                     x[i, : sizes[r]] = own[r]
