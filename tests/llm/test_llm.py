@@ -130,6 +130,16 @@ def test_jaccard_empty_repeated_and_null_ids(spark, tmp_path):
     assert sorted(r.doc_id or 0 for r in jaccard.keep_one(df).collect()) == [0, 1, 2]
 
 
+def test_jaccard_keeps_other_columns_and_long_texts(spark, tmp_path):
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(1, "a b c d e f", "x", 1), (1, "a b c d e f", "y", 2), (2, long, "z", 3), (3, long + " end", "u", 4), (4, None, None, None)]
+    df = stored(spark, spark.createDataFrame(rows, "doc_id bigint, text string, _r1 string, _r2 bigint"), tmp_path)
+    kept = jaccard.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted((r.doc_id, r._r1 if r.doc_id > 1 else r._r1 in "xy") for r in kept.collect())
+    assert got == [(1, True), (2, "z"), (4, None)]
+
+
 def test_parities_never_exceed_the_difference():
     r = np.random.default_rng(7)
     for size in (1, 3, 150, 3000):

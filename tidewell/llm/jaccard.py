@@ -18,7 +18,8 @@ links with pointer jumping until nothing changes.
 Defined results: null texts, and texts without words, have an empty set, link with nothing and are their own component;
 under n words the whole sequence is one shingle; rows that repeat a doc_id count as one node if their texts link and keep
 their row each; a null doc_id is never the smallest, unless all of a component are null; an empty table gives an empty
-result. Extra columns pass through.
+result. component_ids() reads only doc_id and text; keep_one() keeps all columns, whatever their names, and of rows that agree
+in doc_id and text the one whose columns have the smallest hash.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, release
+from .common import WORD, join_counted, materialize, release
 
 ROWS, FREQUENT, MOST_FREQUENT, BROADCAST_IDS, BLOCK, BITS = 256, 32, 1 << 20, 200_000, 1_024, 512
 _UPPER = bytes(range(65, 91))
@@ -313,7 +314,7 @@ def _rest_pairs(keyed: DataFrame, num: int, den: int) -> DataFrame:
 def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, _r1, _r2, _rid, n_shingles, comp (same in a component, null for empty sets) for each row of docs."""
     sets = materialize(_sets(docs, _frequent_tokens(docs, n, frequent), n, num, den), "sets")
-    classes = sets.where("n_shingles > 0").groupBy("sig").agg(F.min("_rid").alias("id"))
+    classes = materialize(sets.where("n_shingles > 0").groupBy("sig").agg(F.min("_rid").alias("id"), F.count(F.lit(1)).alias("copies")), "sigs")
     reps = sets.select("_rid", "n_shingles", "bits", "prefix", "kind").join(classes, F.col("_rid") == F.col("id")).select("id", F.col("n_shingles").alias("size"), "bits", "prefix", "kind")
     reps = materialize(reps, "classes")
     keyed = materialize(_keyed(reps, num, den), "keys")
@@ -336,14 +337,14 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, frequent:
         if found.limit(1).count():
             comps = components(links)
     of_class = classes.withColumn("comp", F.col("id")) if comps is None else classes.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    return sets.drop("bits", "prefix", "kind").join(of_class.select("sig", "comp"), "sig", "left").drop("sig")
+    return join_counted(sets.drop("bits", "prefix", "kind"), of_class.select("sig", "comp", "copies"), ["sig"], "copies", "left").drop("sig", "copies")
 
 
 def component_ids(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id of the component) for each row of docs."""
-    found = linked(docs, n, num, den).select("doc_id", "n_shingles", "comp")
-    smallest = found.where("comp is not null").groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("component_id"))
-    return found.join(smallest, F.col("comp") == F.col("c"), "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    found = materialize(linked(docs, n, num, den).select("doc_id", "n_shingles", "comp"), "found")
+    smallest = found.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("rows"))
+    return join_counted(found, smallest, ["comp"], "rows", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -352,5 +353,6 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Data
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), "_r1", "_r2")
     first = found.groupBy("comp").agg(F.min(order).alias("first")).select("first._r1", "first._r2")
     worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    kept = _row_key(docs.where(worded)).join(materialize(first, "kept"), ["_r1", "_r2"]).dropDuplicates(["_r1", "_r2"])
-    return kept.select(*docs.columns).unionByName(docs.where(~worded))
+    rows = _row_key(docs.where(worded).select("doc_id", "text", F.struct("*").alias("row"))).select("_r1", "_r2", "row")
+    kept = rows.join(materialize(first, "kept"), ["_r1", "_r2"]).groupBy("_r1", "_r2").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return kept.select("row.*").unionByName(docs.where(~worded))
