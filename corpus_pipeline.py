@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm import bpe, exact_dedup, jaccard, mixing, quality
-from tidewell.llm.common import materialize
+from tidewell.llm.common import materialize, release
 
-#: SQL cannot express the classifier, the join's components over kept rows and BPE; tests/llm tests run() against brute force.
+#: SQL cannot express the classifier and BPE; tests/llm hold run() as a whole, and its stages, against brute force.
 ORACLE_SQL = None
 
 
@@ -54,5 +54,6 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), "stage-" + name.split()[0])
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), "stage-" + name.split()[0])
+        release(before)  # the table of the stage before, once the next one is written
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -241,7 +241,7 @@ class Metrics:
         self.counters[key] = self.counters.get(key, 0) + 1
 
     @staticmethod
-    def observed(events: DataFrame, name: str = "changes") -> DataFrame:
+    def observed(events: DataFrame, name: object = "changes") -> DataFrame:
         """events with counts and the largest receive lag (never below 0) noted per batch; a StreamingQueryListener reads them."""
         lag = F.greatest(F.lit(0.0), F.unix_micros(F.current_timestamp()) / 1e6 - F.unix_micros(F.col("timestamp").cast("timestamp")) / 1e6)
         return events.observe(name, F.count(F.lit(1)).alias("received"), F.max(lag).alias("receive_lag_seconds"))
