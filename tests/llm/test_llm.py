@@ -563,3 +563,69 @@ def test_pipeline_stages(spark):
             ids = before.sort_values("doc_id").reset_index(drop=True)
             labels = brute_components(ids.text, 5, 80, 100)
             assert sorted(after.doc_id) == sorted(ids.doc_id[i] for i, c in enumerate(labels) if i == c)
+
+
+def test_pipeline_run_against_brute_force(spark):
+    """run() as a whole: what each stage decides, worked out without its operator's distributed steps."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    scored = quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")).collect()
+    good = {r.doc_id for r in scored if r.predicted == 1}
+    rows = {r.doc_id: r for r in docs.collect() if r.doc_id in good}
+    assert 0 < len(rows) < len(scored)
+    largest = {}
+    for i, r in rows.items():
+        largest[r.text or ""] = max(i, largest.get(r.text or "", i))
+    ids = sorted(largest.values())
+    labels = brute_components([rows[i].text for i in ids], 5, 80, 100)
+    ids = [i for k, i in enumerate(ids) if labels[k] == k]
+    mixed = mixing.mix(docs.where(docs.doc_id.isin(ids))).collect()
+    want = sorted((r.doc_id, rows[r.doc_id].text or "") for r in mixed for _ in range(r.copies))
+    got = corpus_pipeline.run(spark, SF)
+    assert set(got.columns) >= {"doc_id", "n_tokens", "token_ids", "decoded"}
+    assert sorted((r.doc_id, r.decoded) for r in got.collect()) == want
+
+
+def test_pipeline_of_no_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0
+
+
+def test_mixing_null_texts_repeated_rows_names_and_no_rows(spark):
+    rows = [(1, None, "a", "k"), (1, None, "a", "k"), (2, "x y", None, "l"), (2, "x y", None, "l"), (None, "z", "b", "m")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, copies string")
+    got = mixing.mix(df).collect()
+    assert sorted((r.doc_id or 0, r.size) for r in got) == [(0, 1), (1, 0), (1, 0), (2, 2), (2, 2)]
+    assert len({r.copies for r in got if r.doc_id == 2}) == 1 and {r.target for r in got if r.doc_id == 1} == {0.0}
+    assert mixing.mixed_documents(df).columns == df.columns
+    assert mixing.mix(df.limit(0)).count() == mixing.mixed_documents(df.limit(0)).count() == 0
+
+
+def test_bpe_repeated_rows_names_and_no_rows(spark):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    df = spark.createDataFrame([(1, "a b", "q"), (1, "a b", "q"), (None, None, None)], "doc_id bigint, text string, decoded string")
+    assert sorted((r.doc_id or 0, r.decoded) for r in bpe.encode(df, path).collect()) == [(0, ""), (1, "a b"), (1, "a b")]
+    assert bpe.encode(df.limit(0), path).count() == 0
+
+
+def test_chat_long_repeated_names_and_no_rows(spark):
+    turns = [(c, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for c in (4, 5) for t in range(3000)]
+    rows = [(*x, "m") for x in [*turns, (4, 3000, "user", "end"), (4, 3000, "user", "end")]]
+    got = chat.preference_rows(spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string, part string")).collect()
+    assert len(got) == 3002 and {(r.part, r.rendered.split("\n")[1]) for r in got if r.part != "prompt"} == {("chosen", "end<|end|>")}
+    assert chat.preference_rows(spark.createDataFrame([], "conv_id bigint, turn int, role string, text string")).count() == 0
+
+
+def test_exact_dedup_when_the_parallelism_changes(spark, tmp_path):
+    docs_of(spark, [f"text {i % 50}" for i in range(400)]).repartition(16).write.parquet(str(tmp_path / "t"))
+    name = "spark.sql.leafNodeDefaultParallelism"
+    try:
+        spark.conf.set(name, "16")
+        kept = exact_dedup.drop_exact_duplicates(spark.read.parquet(str(tmp_path / "t")))
+        spark.conf.set(name, "2")
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(350, 400))
+    finally:
+        spark.conf.unset(name)

@@ -9,7 +9,8 @@ A turn is common when both sides hold the same turns (role and text, null equal
 all smaller numbers are common too. Defined results: turns without a number come last and are never common with
 anything before them uncommon; a null text renders as empty, a null role as "unknown"; repeated rows are rendered each;
 a conversation without a partner has no prompt and only its own completion; rows with a null conv_id belong to no
-conversation and are left out; an empty table gives an empty result.
+conversation and are left out; an empty table gives an empty result. Columns other than conv_id, turn, role and text are not
+read. The loss is per turn: the role's header and the end mark of an assistant's turn count too.
 """
 
 from __future__ import annotations

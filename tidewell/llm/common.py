@@ -21,9 +21,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; a temporary one only where it is unset."""
+    """The folder in spark.checkpoint.dir, which all executors share; a temporary one only where it is unset and all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="tidewell-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -6,7 +6,8 @@ A source's repetition rate is its target over its words; each document is taken
 a hash of its id, text digest and the seed falls below the fraction. Reruns agree.
 
 Defined results: a null text has no words; a null source is a source of its own, last; repeated rows share one hash
-and are taken alike; a source without words has target 0 and rate 0; an empty table gives an empty result.
+and are taken alike; a source without words has target 0 and rate 0; an empty table gives an empty result. mix() reads only
+doc_id, source and text; mixed_documents() keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -47,11 +48,12 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """doc_id, source, size, source_size, target, copies for each row of docs."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.select("doc_id", "source", size.alias("size"), F.sha2(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(F.coalesce("text", F.lit("")), 256)), 256).alias("coin"))
-    return _with_copies(rows, docs)
+    rows = materialize(rows, "sized")  # texts are read once; the sums and the rows come from this
+    return _with_copies(rows, rows.select("source", "size"))
 
 
-def _with_copies(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    rates = source_rates(docs.select("source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+def _with_copies(rows: DataFrame, sized: DataFrame) -> DataFrame:
+    rates = source_rates(sized)
     small = rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     rates = rates.withColumnRenamed("source", "_source")
     joined = rows.join(F.broadcast(rates) if small else rates, rows["source"].eqNullSafe(rates["_source"])).drop("_source")
@@ -66,5 +68,5 @@ def mixed_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     coin = F.sha2(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(F.coalesce("text", F.lit("")), 256)), 256)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("source"), size.alias("size"), coin.alias("coin"))
-    taken = _with_copies(rows, docs).where("copies > 0")
+    taken = _with_copies(rows, docs.select("source", size.alias("size"))).where("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
