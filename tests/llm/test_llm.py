@@ -602,6 +602,17 @@ def test_mixing_null_texts_repeated_rows_names_and_no_rows(spark):
     assert mixing.mix(df.limit(0)).count() == mixing.mixed_documents(df.limit(0)).count() == 0
 
 
+def test_bpe_memo_of_two_halves_changes_nothing(monkeypatch):
+    import public_tokenizers
+
+    texts = [f"word{i % 37} other{i % 11} {i}" for i in range(200)] + ["a b", "", "a b c"]
+    fresh = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    want = [fresh.encode(t) for t in texts]
+    monkeypatch.setattr(bpe, "MEMO", 20)
+    small = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    assert [x for i in range(0, len(texts), 7) for x in small.encode_many(texts[i : i + 7])] == want and small.before
+
+
 def test_bpe_repeated_rows_names_and_no_rows(spark):
     import public_tokenizers
 

@@ -72,6 +72,7 @@ class Vocabulary:
         self.splits = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.units, self.pieces = re.compile(UNITS), regex.compile(PIECES)
         self.memo: dict = {}
+        self.before: dict = {}  # the half of the memo filled before this one: what is met again moves over, the rest goes
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one piece, by scans of its rank array."""
@@ -184,10 +185,12 @@ class Vocabulary:
         seen = set().union(*cut)
         fixed = {x: np.array([x], "<u4").tobytes() for x in seen if isinstance(x, int)}
         seen -= fixed.keys()
+        if len(self.memo) + len(seen) > MEMO // 2:
+            self.before, self.memo = self.memo, {}
         new = seen - self.memo.keys()
-        if len(self.memo) + len(new) > MEMO:
-            self.memo.clear()
-            new = seen
+        again = new & self.before.keys()
+        self.memo.update((u, self.before[u]) for u in again)
+        new -= again
         self._learn(new)
         self.memo.update(fixed)
         return [b"".join(map(self.memo.__getitem__, own)) for own in cut]
