@@ -172,10 +172,10 @@ def schema_change_feed(log: DataFrame) -> DataFrame:
     return folds.schema_changes(log)
 
 
-@query("change_events", "select document_key, arg_min(id, seq) as id from change_events where operation_type = 'insert' and document_key not in (select document_key from change_events where operation_type = 'delete') group by document_key")
+@query("change_events", "select document_key, arg_min(id, seq) as id from change_events where operation_type = 'insert' and document_key not in (select document_key from change_events where operation_type = 'delete' and cast(document_key as bigint) % 4 = 0) group by document_key")
 def insert_unless_there(c: DataFrame) -> DataFrame:
     """One row for each new key, the first of it: a key that is there already is a duplicate."""
-    there = c.where("operation_type = 'delete'").select("document_key").distinct()
+    there = c.where("operation_type = 'delete' and cast(document_key as bigint) % 4 = 0").select("document_key").distinct()
     return folds.insert_new(c.where("operation_type = 'insert'").select("document_key", "id", "seq"), there, "document_key", "seq").select("document_key", "id")
 
 
