@@ -317,6 +317,9 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, frequent:
     classes = materialize(sets.where("n_shingles > 0").groupBy("sig").agg(F.min("_rid").alias("id"), F.count(F.lit(1)).alias("copies")), "sigs")
     reps = sets.select("_rid", "n_shingles", "bits", "prefix", "kind").join(classes, F.col("_rid") == F.col("id")).select("id", F.col("n_shingles").alias("size"), "bits", "prefix", "kind")
     reps = materialize(reps, "classes")
+    slim = materialize(sets.drop("bits", "prefix", "kind"), "rows")  # the classes have the rest
+    release(sets)
+    sets = slim
     keyed = materialize(_keyed(reps, num, den), "keys")
     links, tried, comps, texts = None, None, None, None
     for step in ("first", "last", "rest"):
@@ -337,7 +340,7 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, frequent:
         if found.limit(1).count():
             comps = components(links)
     of_class = classes.withColumn("comp", F.col("id")) if comps is None else classes.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    return join_counted(sets.drop("bits", "prefix", "kind"), of_class.select("sig", "comp", "copies"), ["sig"], "copies", "left").drop("sig", "copies")
+    return join_counted(sets, of_class.select("sig", "comp", "copies"), ["sig"], "copies", "left").drop("sig", "copies")
 
 
 def component_ids(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
