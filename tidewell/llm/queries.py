@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, html_text, jaccard, mixing, pii, quality, substring, topk
+from . import bpe, chat, divergence, exact_dedup, html_text, jaccard, mixing, pii, quality, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,3 +144,31 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query(r"""
+with d as (select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as ws from documents),
+t as (select rid, lang, source, unnest(ws) as term from d),
+lt as (select lang, term, count(*) as tf from t group by all having count(distinct rid) >= 10),
+l as (select lang, count(*) as v, sum(tf) as n from lt group by lang),
+c as (select lang, source, term, count(*) as tf from t join lt using (lang, term) group by all),
+g as (select s.lang, s.source, coalesce(l.v, 0) as v, coalesce(sum(c.tf), 0) as n
+      from (select distinct lang, source from d) s left join l using (lang) left join c on c.lang = s.lang and c.source = s.source group by all),
+p as (select g.lang, g.source, lt.term, coalesce(c.tf, 0) as tf,
+             cast(1 + 1000000000::hugeint * (coalesce(c.tf, 0) + 2) // (g.n + 2 * g.v) as bigint) as p,
+             cast(1 + 1000000000::hugeint * (lt.tf + 2) // (l.n + 2 * l.v) as bigint) as q
+      from g join l using (lang) join lt using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = lt.term),
+pairs as (select a.lang, a.source, b.source as item, coalesce(x.value, 0) as value
+          from g a join g b on a.lang = b.lang and a.source <> b.source
+          left join (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+                     from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all) x
+            on x.lang = a.lang and x.source = a.source and x.item = b.source),
+words as (select lang, source, term as item, (p - q) * (p - q) // (p + q) as value from p where tf > 0 and p > q)
+select lang, source, 'pair' as part, item, cast(value as bigint) as value,
+       cast(row_number() over (partition by lang, source order by value desc, item) as integer) as rank from pairs
+union all
+select lang, source, 'term', item, cast(value as bigint), cast(row_number() over (partition by lang, source order by value desc, item) as integer)
+from words qualify row_number() over (partition by lang, source order by value desc, item) <= 10""")
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
