@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, divergence, exact_dedup, html_text, jaccard, mixing, pii, quality, substring, topk
+from . import bpe, chat, divergence, exact_dedup, html_text, jaccard, mixing, pii, quality, substring, topk, trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -172,3 +172,22 @@ select lang, source, 'term', item, cast(value as bigint), cast(row_number() over
 from words qualify row_number() over (partition by lang, source order by value desc, item) <= 10""")
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+@query(r"""
+with crc as (select list_transform(range(256), lambda i: list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)) as t),
+t as (select conv_id, sha256(cast(length(coalesce(role, '')) as varchar) || ':' || coalesce(role, '') || coalesce(text, '')) as s, strlen(coalesce(text, '')) as n, turn
+      from conversations where conv_id is not null),
+c as (select conv_id, list({'s': s, 'n': n} order by turn nulls first, s) as own from t group by conv_id),
+h as (select conv_id, own, xor(list_reduce(list_concat([4294967295], list_transform(string_split(cast(conv_id as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+             lambda a, b: xor(a >> 8, crc.t[(xor(a, b) & 255) + 1])), 4294967295) % 9 as h from c, crc),
+r as (select h.conv_id, list_concat(coalesce(b.own, [])[1 : h.h], h.own[h.h + 1 :]) as seq from h left join c b on b.conv_id = h.conv_id - h.conv_id % 5),
+k as (select conv_id, d, len(seq) as len, coalesce(seq[d].n, 0) as n, md5(array_to_string(list_transform(seq[1:d], lambda x: x.s), ',')) as key from (select conv_id, seq, unnest(range(0, len(seq) + 1)) as d from r)),
+node as (select d, key, min(conv_id) as conv_id, count(*) as n_convs, max(n) as n, coalesce(string_agg(conv_id, ',' order by conv_id) filter (d = len), '') as ends from k group by d, key),
+up as (select node.d, node.key, p.d as pd, p.key as pkey, (node.n_convs - 1) * node.n as saved from node join k p on p.conv_id = node.conv_id and p.d <= node.d),
+kids as (select pd as d, pkey as key, count(*) as n_children from up where d = pd + 1 group by all),
+under as (select up.pd as d, up.pkey as key, sum(saved) as saved, count(*) filter (kids.d is null) as leaves from up left join kids on kids.d = up.d and kids.key = up.key group by all)
+select node.conv_id, cast(node.d as bigint) as depth, p.conv_id as parent_conv_id, node.n_convs, coalesce(n_children, 0) as n_children, under.leaves as n_leaves, cast(under.saved as bigint) as saved_tokens, sha256(node.ends) as ends_sha256
+from node join under using (d, key) left join kids using (d, key) left join up on up.d = node.d and up.key = node.key and up.pd = node.d - 1 left join node p on p.d = up.pd and p.key = up.pkey""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
