@@ -6,11 +6,12 @@ over FREQUENT rows, counted over all rows) after them, each by hash. A set of s
 a partner. Frequent tokens fall in parts by hash; a prefix is extended until e + 1 mismatches cannot use it up, where a
 rare token counts 1 and a part of c frequent tokens c - 1. Rare tokens of the prefix are indexed alone, frequent ones as
 pairs within their part: similar sets share a key. The number of parts grows with the size range of a pair's larger set;
-a set is indexed in each range that it may meet. Only tokens in the lower half of the hashes are counted; the others come
-last, indexed alone, and only the smallest sets ever need them.
+a set is indexed in each range that it may meet. Tokens in the upper half of the hashes come after all others. Only sets
+too small to fill a prefix from the lower half ever reach them, so they are counted over those sets, as only these index them.
 
-Candidates whose prefixes share too few tokens for a link go; the rest are verified on the texts' whole sets. Within a key, each class is first tried against one class of the key
-(then another), so a key of any size gives one pair per member, and classes already connected are not tried again. What
+Candidates whose prefixes share too few tokens for a link go; the rest are verified on the texts' whole sets. Within a key,
+each class is first tried against one class of the key, the hub (then another), so a key of any size gives one pair per member,
+and classes already connected are not tried again. A hub's text is sent once for each PER_HUB of its pairs, not with each. What
 is left, pairs of one key in different components, is tried whole, in blocks, but for pairs whose bits (parities of the
 tokens that fall on each) differ in more places than linked sets differ in tokens. Component labels spread over the verified
 links with pointer jumping until nothing changes.
@@ -25,7 +26,6 @@ in doc_id and text the one whose columns have the smallest hash.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, join_counted, materialize, release
 
-ROWS, FREQUENT, MOST_FREQUENT, BROADCAST_IDS, BLOCK, BITS = 256, 32, 1 << 20, 200_000, 1_024, 512
+ROWS, FREQUENT, MOST_FREQUENT, BROADCAST_IDS, BLOCK, BITS, PER_HUB = 256, 32, 1 << 20, 200_000, 1_024, 512, 1_000
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -85,29 +85,40 @@ def ranges_met(s: int, num: int, den: int) -> range:
     return range(size_range(s), size_range(s * den // num) + 1)
 
 
+def needed(s: int, num: int, den: int) -> int:
+    """The most tokens that any prefix of a set of s has."""
+    return missed(s, num, den) + 1 + max(map(parts_of, ranges_met(s, num, den)))
+
+
+def counted(all_tokens: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The tokens of a set that its prefixes may hold: those in the lower half of the hashes, or all if these are too few."""
+    low = all_tokens[: np.searchsorted(all_tokens, np.uint64(1 << 63))]
+    return all_tokens if len(all_tokens) and len(low) < needed(len(all_tokens), num, den) else low
+
+
 def ordered(all_tokens: np.ndarray, frequent: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """The first tokens of a set in the corpus's order, as many as any prefix of it needs, and the class of each.
 
-    Classes: 0 rare, 1 frequent, 2 not counted (hashes from 2 ** 63); the order is by class, then hash.
+    Classes: 0 rare, 1 frequent; 2 and 3 the same for hashes from 2 ** 63. The order is by class, then hash.
     """
-    need = missed(len(all_tokens), num, den) + 1 + max(map(parts_of, ranges_met(len(all_tokens), num, den)))
+    need = needed(len(all_tokens), num, den)
     at = np.minimum(np.searchsorted(frequent, all_tokens), max(len(frequent) - 1, 0))
     kind = (all_tokens >> np.uint64(62) & np.uint64(2)).astype(np.uint8)
     if len(frequent):
-        kind[frequent[at] == all_tokens] = 1
+        kind[frequent[at] == all_tokens] |= 1
     order = kind.argsort(kind="stable")[:need]
     return all_tokens[order], kind[order]
 
 
 def keys(prefix: np.ndarray, kind: np.ndarray, s: int, num: int, den: int) -> np.ndarray:
     """The keys of a set of s tokens, of which prefix and kind are ordered()."""
-    e, out, common = missed(s, num, den), [], kind == 1
+    e, out, common = missed(s, num, den), [], kind & 1 == 1
     for r in ranges_met(s, num, den):
         parts = _mix(prefix ^ _M[0]) % np.uint64(parts_of(r))
-        counted, left = set(), e + 1
+        seen, left = set(), e + 1
         for i, (often, part) in enumerate(zip(common.tolist(), parts.tolist(), strict=True)):
-            if often and part not in counted:
-                counted.add(part)
+            if often and part not in seen:
+                seen.add(part)
             else:
                 left -= 1
             if not left:
@@ -115,7 +126,7 @@ def keys(prefix: np.ndarray, kind: np.ndarray, s: int, num: int, den: int) -> np
         head, often, part = prefix[: i + 1], common[: i + 1], parts[: i + 1]
         salt = np.array([r], np.uint64)
         out.append(_mix(head[~often] ^ _mix(salt + _M[1])))
-        for p in counted:
+        for p in seen:
             own = head[often & (part == np.uint64(p))]
             a, b = np.triu_indices(len(own), 1)
             out.append(_mix(_mix(own[a] + salt) * _M[0] + own[b]))
@@ -153,8 +164,8 @@ def _sets(docs: DataFrame, frequent: np.ndarray, n: int, num: int, den: int) ->
     return rows.mapInArrow(run, schema)
 
 
-def _frequent_tokens(docs: DataFrame, n: int, at_least: int) -> np.ndarray:
-    """Of the tokens with a hash below 2 ** 63, those in over at_least rows of docs, sorted.
+def _frequent_tokens(docs: DataFrame, n: int, num: int, den: int, at_least: int) -> np.ndarray:
+    """The tokens in over at_least rows of docs whose prefixes may hold them, sorted.
 
     The bar rises until there are at most MOST_FREQUENT of them (8 MB). It only decides how well keys tell sets apart.
     """
@@ -162,8 +173,8 @@ def _frequent_tokens(docs: DataFrame, n: int, at_least: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
-                flat = np.concatenate([np.zeros(0, np.uint64), *(tokens(t, n) for t in whole.column(0).slice(at, ROWS).to_pylist())]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(flat[flat >= 0])], names=["token"])
+                flat = np.concatenate([np.zeros(0, np.uint64), *(counted(tokens(t, n), num, den) for t in whole.column(0).slice(at, ROWS).to_pylist())])
+                yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], names=["token"])
 
     found = docs.select("text").where("text is not null").mapInArrow(run, "token bigint")
     counts = materialize(found.groupBy("token").count().where(F.col("count") > at_least), "frequent")
@@ -201,9 +212,10 @@ def _near_bits(num: int, den: int) -> Column:
     return apart * (num + den) <= (F.col("size") + F.col("size_o")) * (den - num)
 
 
-def _pairs(left: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), smaller id first."""
-    return left.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+def _pairs(left: DataFrame, hub: str = "other") -> DataFrame:
+    """Distinct pairs (a, b), smaller id first; from_a: a is the one that many pairs share."""
+    found = left.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), (F.col(hub) == F.least("id", "other")).alias("from_a"))
+    return found.groupBy("a", "b").agg(F.max("from_a").alias("from_a"))
 
 
 def _likely(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
@@ -222,11 +234,11 @@ def _likely(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
                     overlap = -(-num * (s + t) // (num + den))
                     least = len(x) - (s - overlap) if (i[-1], x[-1]) <= (j[-1], y[-1]) else len(y) - (t - overlap)
                     keep.append(least <= 0 or len(np.intersect1d(x, y, assume_unique=True)) >= least)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(8)], names=["a", "b", "from_a"]).filter(pa.array(keep, pa.bool_()))
 
     one = pairs.join(reps.select(F.col("id").alias("a"), F.col("size").alias("s"), F.col("prefix").alias("x"), F.col("kind").alias("i")), "a")
     both = one.join(reps.select(F.col("id").alias("b"), F.col("size").alias("t"), F.col("prefix").alias("y"), F.col("kind").alias("j")), "b")
-    return both.select("a", "b", "s", "t", "x", "y", "i", "j").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "s", "t", "x", "y", "i", "j", "from_a").mapInArrow(run, "a bigint, b bigint, from_a boolean")
 
 
 def _texts(docs: DataFrame, sets: DataFrame, ids: DataFrame) -> DataFrame:
@@ -235,27 +247,45 @@ def _texts(docs: DataFrame, sets: DataFrame, ids: DataFrame) -> DataFrame:
     met = materialize(met, "met")
     small = met.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     whole = _row_key(docs.where("text is not null").select("doc_id", "text")).drop("doc_id")
-    return materialize(whole.join(F.broadcast(met) if small else met, ["_r1", "_r2"]).select("id", "text").dropDuplicates(["id"]), "texts")
+    out = materialize(whole.join(F.broadcast(met) if small else met, ["_r1", "_r2"]).select("id", "text").dropDuplicates(["id"]), "texts")
+    release(met)
+    return out
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs whose texts (id, text) link."""
+    """The pairs (a table: a, b, from_a) whose texts (id, text) link.
+
+    Rows are dealt by hub and slice of PER_HUB members and sorted: the hub's text comes first, then its members' texts stream by.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cached = lru_cache(maxsize=64)(lambda text: tokens(text, n))
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                b = whole.slice(at, ROWS)
-                links = []
-                for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                    x, y = cached(x), cached(y)
+        x, hub = None, None
+        for b in batches:
+            hubs, members = [], []
+            for i in range(b.num_rows):
+                own, member = b.column(0)[i].as_py(), b.column(1)[i].as_py()
+                if member is None:
+                    x, hub = tokens(b.column(2)[i].as_py(), n), own
+                elif own == hub:
+                    y = tokens(b.column(2)[i].as_py(), n)
                     common = len(np.intersect1d(x, y, assume_unique=True))
-                    links.append(den * common >= num * (len(x) + len(y) - common))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(links, pa.bool_()))
-
-    one = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
-    both = one.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+                    if den * common >= num * (len(x) + len(y) - common):
+                        hubs.append(own)
+                        members.append(member)
+            low, high = np.minimum(hubs, members).astype(np.int64), np.maximum(hubs, members).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+
+    hub = F.when(F.col("from_a"), F.col("a")).otherwise(F.col("b")).alias("hub")
+    turned = pairs.select(hub, F.when(F.col("from_a"), F.col("b")).otherwise(F.col("a")).alias("member"))
+    slices = join_counted(turned, turned.groupBy("hub").agg(F.count(F.lit(1)).alias("members")), ["hub"], "members")
+    slices = slices.withColumn("slice", F.pmod(F.xxhash64("member"), F.ceil(F.col("members") / PER_HUB)).cast("int")).drop("members")
+    slices = materialize(slices, "slices")
+    of_members = slices.join(texts.withColumnRenamed("id", "member"), "member").select("hub", "slice", "member", "text")
+    of_hubs = slices.select("hub", "slice").distinct().join(texts.withColumnRenamed("id", "hub"), "hub").select("hub", "slice", F.lit(None).cast("long").alias("member"), "text")
+    rows = of_hubs.unionByName(of_members).repartition("hub", "slice").sortWithinPartitions("hub", "slice", F.col("member").isNotNull())
+    found = materialize(rows.select("hub", "member", "text").mapInArrow(run, "a bigint, b bigint"), "links")
+    release(slices)
+    return found
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -308,12 +338,12 @@ def _rest_pairs(keyed: DataFrame, num: int, den: int) -> DataFrame:
     blocks = asking.select("key", F.col("block").alias("asked_by")).distinct()
     facing = marked.join(blocks, "key").select("key", F.col("asked_by"), "block", F.col("id").alias("other"), F.col("size").alias("size_o"), F.col("bits").alias("bits_o"), F.col("comp").alias("comp_o"))
     met = asking.withColumnRenamed("block", "asked_by").join(facing, ["key", "asked_by"])
-    return _pairs(met.where((F.col("comp") != F.col("comp_o")) & _near_sizes("size", "size_o", num, den) & _near_bits(num, den)))
+    return _pairs(met.where((F.col("comp") != F.col("comp_o")) & _near_sizes("size", "size_o", num, den) & _near_bits(num, den)), "id")
 
 
 def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, _r1, _r2, _rid, n_shingles, comp (same in a component, null for empty sets) for each row of docs."""
-    sets = materialize(_sets(docs, _frequent_tokens(docs, n, frequent), n, num, den), "sets")
+    sets = materialize(_sets(docs, _frequent_tokens(docs, n, num, den, frequent), n, num, den), "sets")
     classes = materialize(sets.where("n_shingles > 0").groupBy("sig").agg(F.min("_rid").alias("id"), F.count(F.lit(1)).alias("copies")), "sigs")
     reps = sets.select("_rid", "n_shingles", "bits", "prefix", "kind").join(classes, F.col("_rid") == F.col("id")).select("id", F.col("n_shingles").alias("size"), "bits", "prefix", "kind")
     reps = materialize(reps, "classes")
@@ -321,7 +351,7 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, frequent:
     release(sets)
     sets = slim
     keyed = materialize(_keyed(reps, num, den), "keys")
-    links, tried, comps, texts = None, None, None, None
+    links, tried, comps, texts, passing = None, None, None, None, []
     for step in ("first", "last", "rest"):
         mixed = materialize(_labelled(keyed, comps), "mixed")
         release(keyed)  # keys of one component never come back
@@ -334,18 +364,35 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, frequent:
         ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
         more = _texts(docs, sets, ids if texts is None else ids.join(texts.select("id"), "id", "left_anti"))
         texts = more if texts is None else texts.unionByName(more)
-        found = materialize(_verified(likely, texts, n, num, den), "links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = _verified(likely, texts, n, num, den)
+        release(likely)
+        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
         links = found if links is None else links.unionByName(found)
+        passing += [pairs, more, found]
         if found.limit(1).count():
+            if comps is not None:
+                release(comps)
             comps = components(links)
+    release(keyed, reps, *passing)
+    return _labels(sets, classes, comps)
+
+
+def _labels(sets: DataFrame, classes: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """sets with comp in place of sig, as a table; what it is made of goes."""
     of_class = classes.withColumn("comp", F.col("id")) if comps is None else classes.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    return join_counted(sets, of_class.select("sig", "comp", "copies"), ["sig"], "copies", "left").drop("sig", "copies")
+    out = materialize(join_counted(sets, of_class.select("sig", "comp", "copies"), ["sig"], "copies", "left").drop("sig", "copies"), "linked")
+    release(sets, classes, *([comps] if comps is not None else []))
+    return out
 
 
 def component_ids(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id of the component) for each row of docs."""
-    found = materialize(linked(docs, n, num, den).select("doc_id", "n_shingles", "comp"), "found")
+    return smallest_ids(linked(docs, n, num, den))
+
+
+def smallest_ids(found: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row of linked()."""
+    found = found.select("doc_id", "n_shingles", "comp")
     smallest = found.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("rows"))
     return join_counted(found, smallest, ["comp"], "rows", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
