@@ -26,7 +26,7 @@ def stored(spark, df, tmp_path):
     return spark.read.parquet(str(tmp_path / "t"))
 
 
-@pytest.mark.parametrize("name", ["op3_chat_formatting", "op4_topk", "op5_jaccard_join", "op6_mixing", "op9_substring_dedup", "op10_exact_dedup"])
+@pytest.mark.parametrize("name", ["op3_chat_formatting", "op4_topk", "op5_jaccard_join", "op6_mixing", "op9_substring_dedup", "op10_exact_dedup", "op11_source_divergence", "op12_prefix_trie", "op13_chosen_path"])
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "embeddings", "conversations"):

@@ -320,11 +320,16 @@ def _labelled(keyed: DataFrame, comps: DataFrame | None) -> DataFrame:
     return with_comp.drop("n").join(materialize(mixed, "mixed-keys"), "key")
 
 
-def _hub_pairs(keyed: DataFrame, last: bool, num: int, den: int) -> DataFrame:
-    """Each member of a key with one member of it: the one with the fewest rare tokens, as it is near the most, or the largest id."""
-    hub = F.max(F.struct("id", "size", "comp")) if last else F.min(F.struct("rare", "id", "size", "comp"))
-    hubs = keyed.groupBy("key").agg(hub.alias("hub")).select("key", F.col("hub.id").alias("other"), F.col("hub.size").alias("size_o"), F.col("hub.comp").alias("comp_o"))
-    return _pairs(keyed.join(materialize(hubs, "hubs"), "key").where((F.col("comp") != F.col("comp_o")) & _near_sizes("size", "size_o", num, den)))
+def _hub_pairs(keyed: DataFrame, last: bool, num: int, den: int, near: Column | None = None) -> DataFrame:
+    """Each member of a key with one member of it: the one with the fewest rare tokens, as it is near the most, or the largest id.
+
+    near: what else must hold of bits and bits_o, the members' and the hub's.
+    """
+    more = ["bits"] if near is not None else []
+    hub = F.max(F.struct("id", "size", "comp", *more)) if last else F.min(F.struct("rare", "id", "size", "comp", *more))
+    hubs = keyed.groupBy("key").agg(hub.alias("hub")).select("key", F.col("hub.id").alias("other"), *(F.col(f"hub.{c}").alias(f"{c}_o") for c in ("size", "comp", *more)))
+    apart = (F.col("comp") != F.col("comp_o")) & _near_sizes("size", "size_o", num, den)
+    return _pairs(keyed.join(materialize(hubs, "hubs"), "key").where(apart if near is None else apart & near))
 
 
 def _rest_pairs(keyed: DataFrame, num: int, den: int) -> DataFrame:

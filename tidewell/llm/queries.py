@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, divergence, exact_dedup, html_text, jaccard, mixing, pii, quality, substring, topk, trie
+from . import bpe, chat, chosen_path, divergence, exact_dedup, html_text, jaccard, mixing, pii, quality, substring, topk, trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -191,3 +191,18 @@ select node.conv_id, cast(node.d as bigint) as depth, p.conv_id as parent_conv_i
 from node join under using (d, key) left join kids using (d, key) left join up on up.d = node.d and up.key = node.key and up.pd = node.d - 1 left join node p on p.d = up.pd and p.key = up.pkey""")
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query(r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select doc_id, case when len(ws) = 0 then []::varchar[] when len(ws) < 5 then [array_to_string(ws, ' ')]
+             else list_distinct(list_transform(range(1, len(ws) - 3), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] || ' ' || ws[i + 4])) end as sh from w),
+t as (select doc_id, unnest(sh) as token from s),
+c as (select x.doc_id as a, y.doc_id as b, count(*) as common from t x join t y on x.token = y.token and x.doc_id < y.doc_id group by all),
+l as (select a, b from c join s x on x.doc_id = a join s y on y.doc_id = b where 100 * common >= 85 * (len(x.sh) + len(y.sh) - common)),
+e as (select a, b from l union all select b, a from l),
+r(doc_id, other) as (select doc_id, doc_id from s union select r.doc_id, e.b from r join e on r.other = e.a)
+select s.doc_id, cast(len(sh) as bigint) as n_shingles, m.component_id, s.doc_id = m.component_id as kept
+from s join (select doc_id, min(other) as component_id from r group by doc_id) m using (doc_id)""")
+def op13_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
