@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import binascii
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,35 +41,61 @@ def canonical(text: Column) -> Column:
     return F.to_json(F.try_parse_json(text))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value evaluated once, however often body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def plain(document: Column) -> Column:
     """A canonical document with types that plain JSON lacks made plain; null where a number is none that JSON can hold.
 
     Long, int and double become numbers, a decimal becomes a string, dates and timestamps become RFC 3339 in UTC (the
     ordinal of a timestamp is dropped); object ids and binaries stay marked objects.
     """
-    numbers = F.regexp_replace(document, r'\{"\$number(?:Long|Int|Double)":"([-+0-9.eE]+)"\}', "$1")
-    text = F.regexp_replace(numbers, r'\{"\$numberDecimal":("[^"]*")\}', "$1")
-    text = F.regexp_replace(text, r'\{"\$date":("[^"]*")\}', "$1")
-    dates = F.array_distinct(F.regexp_extract_all(text, F.lit(r'\{"\$date":(-?\d+)\}'), 1))
-    text = F.aggregate(dates, text, lambda t, ms: F.replace(t, F.concat(F.lit('{"$date":'), ms, F.lit("}")), F.concat(F.lit('"'), rfc3339(clock_of_millis(ms)), F.lit('"'))))
-    stamps = F.array_distinct(F.regexp_extract_all(text, F.lit(r'(\{"\$timestamp":\{"i":\d+,"t":\d+\}\})'), 1))
-    text = F.aggregate(stamps, text, lambda t, s: F.replace(t, s, F.concat(F.lit('"'), rfc3339(clock_of_millis(F.regexp_extract(s, r'"t":(\d+)', 1).cast("long") * 1000)), F.lit('"'))))
-    return F.when(~text.contains('{"$numberDouble":"'), text)
+
+    def dates(text: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(r'\{"\$date":(-?\d+)\}'), 1))
+        return F.aggregate(found, text, lambda t, ms: F.replace(t, F.concat(F.lit('{"$date":'), ms, F.lit("}")), F.concat(F.lit('"'), rfc3339(clock_of_millis(ms)), F.lit('"'))))
+
+    def stamps(text: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(r'(\{"\$timestamp":\{"i":\d+,"t":\d+\}\})'), 1))
+        seconds = lambda s: F.substring_index(F.substring_index(s, '"t":', -1), "}", 1).cast("long")
+        return F.aggregate(found, text, lambda t, s: F.replace(t, s, F.concat(F.lit('"'), rfc3339(clock_of_millis(seconds(s) * 1000)), F.lit('"'))))
+
+    values = F.regexp_replace(document, r'\{"\$(?:number(?:Long|Int|Double)":"([-+0-9.eE]+)"|(?:numberDecimal|date)":("[^"]*"))\}', "$1$2")
+    dated = let(values, lambda t: F.when(t.contains('{"$date":'), dates(t)).otherwise(t))
+    stamped = let(dated, lambda t: F.when(t.contains('{"$timestamp":'), stamps(t)).otherwise(t))
+    return let(stamped, lambda t: F.when(~t.contains('{"$numberDouble":"'), t))
+
+
+def beyond_json(document: Column) -> Column:
+    """Whether a canonical document has a number that plain JSON can't hold, so that plain() is null."""
+    return F.coalesce(document.rlike(r'\{"\$numberDouble":"(?![-+0-9.eE]+"\})'), F.lit(False))
 
 
 def short_double(x: Column) -> Column:
     """A double in the fewest digits, with an exponent only below 1e-4 and from 1e21 on (3 and not 3.0, 1e+21)."""
-    s = F.abs(x).cast("string")
-    digits = F.concat(F.regexp_extract(s, r"^(\d+)", 1), F.regexp_extract(s, r"\.(\d+)", 1))
-    lead = F.length(F.regexp_extract(digits, "^(0*)", 1))
-    point = F.length(F.regexp_extract(s, r"^(\d+)", 1)) + F.coalesce(F.regexp_extract(s, r"E(-?\d+)", 1).try_cast("int"), F.lit(0)) - lead
-    d = F.rtrim(F.substring(digits, lead + 1, F.length(digits)), F.lit("0"))
-    n, power = F.length(d), point - 1
-    scientific = F.concat(F.substring(d, 1, 1), F.when(n > 1, F.concat(F.lit("."), F.substring(d, F.lit(2), n))).otherwise(""), F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
-    plain_ = F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), d)).when(point >= n, F.concat(d, F.repeat(F.lit("0"), point - n))).otherwise(F.concat(F.substring(d, F.lit(1), point), F.lit("."), F.substring(d, point + 1, n)))
-    body = F.when(n == 0, "0").when((power < -4) | (power >= 21), scientific).otherwise(plain_)
+
+    def parts(s: Column) -> Column:
+        mantissa = F.substring_index(s, "E", 1)
+        whole = F.substring_index(mantissa, ".", 1)
+        digits = F.concat(whole, F.when(mantissa.contains("."), F.substring_index(mantissa, ".", -1)).otherwise(""))
+        exponent = F.when(s.contains("E"), F.substring_index(s, "E", -1).try_cast("int")).otherwise(0)
+        return F.struct(digits.alias("digits"), F.length(whole).alias("whole"), exponent.alias("exponent"))
+
+    def shown(p: Column) -> Column:
+        bare = F.ltrim(p["digits"], F.lit("0"))
+        point = p["whole"] + p["exponent"] - (F.length(p["digits"]) - F.length(bare))
+        return let(F.struct(F.rtrim(bare, F.lit("0")).alias("d"), point.alias("point")), lambda q: laid_out(q["d"], F.length(q["d"]), q["point"]))
+
+    def laid_out(d: Column, n: Column, point: Column) -> Column:
+        power = point - 1
+        scientific = F.concat(F.substring(d, 1, 1), F.when(n > 1, F.concat(F.lit("."), F.substring(d, F.lit(2), n))).otherwise(""), F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+        fixed = F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), d)).when(point >= n, F.concat(d, F.repeat(F.lit("0"), point - n))).otherwise(F.concat(F.substring(d, F.lit(1), point), F.lit("."), F.substring(d, point + 1, n)))
+        return F.when(n == 0, "0").when((power < -4) | (power >= 21), scientific).otherwise(fixed)
+
     named = F.when(F.isnan(x), "NaN").when(x == float("inf"), "+Inf").when(x == float("-inf"), "-Inf")
-    return F.coalesce(named, F.concat(F.when(x < 0, "-").otherwise(""), body))
+    return F.coalesce(named, F.concat(F.when(x < 0, "-").otherwise(""), let(F.abs(x).cast("string"), lambda s: let(parts(s), shown))))
 
 
 def unquoted(text: Column) -> Column:
@@ -78,8 +105,7 @@ def unquoted(text: Column) -> Column:
 
 def quoted(text: Column) -> Column:
     """A string as a JSON string literal."""
-    listed = F.to_json(F.array(text))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+    return let(F.to_json(F.array(text)), lambda listed: F.substring(listed, F.lit(2), F.length(listed) - 2))
 
 
 def web_safe(payload: Column) -> Column:
@@ -89,16 +115,39 @@ def web_safe(payload: Column) -> Column:
     return payload
 
 
-def document_key(key: Column) -> Column:
-    """The text of an _id given as canonical JSON: hex of object ids and binaries, a string itself, numbers, else JSON; null gives ""."""
-    oid = F.regexp_extract(key, r'^\{"\$oid":"([0-9a-fA-F]*)"\}$', 1)
-    binary = F.regexp_extract(key, r'^\{"\$binary":\{"base64":"([^"]*)"', 1)
-    integer = F.regexp_extract(key, r'^\{"\$number(?:Long|Int)":"(-?\d+)"\}$', 1)
-    double = F.coalesce(F.nullif(F.regexp_extract(key, r'^\{"\$numberDouble":"([^"]*)"\}$', 1), F.lit("")), F.when(key.rlike(r"^-?\d+\.\d+([eE][-+]?\d+)?$|^-?\d+[eE][-+]?\d+$"), key))
-    return (
-        F.when(key.isNull() | (key == "null"), "").when(oid != "", F.lower(oid)).when(key.startswith('"'), unquoted(key)).when(key.startswith('{"$binary"'), F.lower(F.hex(F.unbase64(binary))))
-        .when(integer != "", integer).when(double.isNotNull(), short_double(double.try_cast("double"))).otherwise(plain(key))
-    )
+def document_key(key: Column, converted: Column | None = None) -> Column:
+    """The text of an _id given as canonical JSON: hex of object ids and binaries, a string itself, numbers, else JSON; null gives "".
+
+    converted: plain(odd_key(key)), for a caller that has it already.
+    """
+
+    def marked(key: Column) -> Column:
+        """kind and value of a marked object with one string value, as {"$oid":"..."}."""
+        kind = F.substring_index(F.substring(key, F.lit(4), F.length(key)), '"', 1)
+        return let(kind, lambda k: F.struct(k.alias("kind"), F.substring(key, F.length(k) + 7, F.length(key) - F.length(k) - 8).alias("value")))
+
+    def of_mark(key: Column, m: Column) -> Column:
+        kind, value = m["kind"], m["value"]
+        whole = (F.concat(F.lit('{"$'), kind, F.lit('":"'), value, F.lit('"}')) == key) & ~value.contains('"')
+        hexed = F.length(F.translate(F.lower(value), "0123456789abcdef", "")) == 0
+        return (
+            F.when(whole & (kind == "oid") & hexed & (value != ""), F.lower(value)).when(whole & kind.isin("numberLong", "numberInt") & value.try_cast("decimal(38,0)").isNotNull(), value)
+            .when(whole & (kind == "numberDouble"), short_double(value.try_cast("double")))
+            .when(kind == "binary", F.lower(F.hex(F.unbase64(F.substring_index(F.substring_index(key, '"base64":"', -1), '"', 1)))))
+        )
+
+    def text(key: Column) -> Column:
+        number = key.try_cast("double")
+        decimal = (key.contains(".") | key.contains("e") | key.contains("E")) & number.isNotNull()
+        return F.when(key.startswith('"'), unquoted(key)).when(key.startswith('{"$'), let(marked(key), lambda m: of_mark(key, m))).when(decimal, short_double(number))
+
+    other = plain(key) if converted is None else converted
+    return F.when(key.isNull() | (key == "null"), "").otherwise(F.coalesce(let(key, text), other, F.when(~odd_key(key), key)))
+
+
+def odd_key(key: Column) -> Column:
+    """Whether a key is an object, array or number mark that document_key() gives as plain JSON."""
+    return key.startswith("{") | key.startswith("[")
 
 
 def field(fields: Column, key: str, kind: str) -> Column:

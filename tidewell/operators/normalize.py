@@ -5,21 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions import bson
 from tidewell.functions import documents as D
 
-RAW = (
-    "_id struct<_data:string>, operationType string, ns struct<db:string,coll:string>, documentKey struct<_id:variant>, fullDocument variant, "
-    "updateDescription struct<updatedFields:variant,removedFields:array<string>,truncatedArrays:array<struct<field:string,newSize:int>>>, clusterTime struct<`$timestamp`:struct<t:bigint,i:bigint>>"
-)
-
-
-def is_document(raw: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(F.try_parse_json(raw)).startswith("OBJECT"), F.lit(False))
+def parsed(raws: DataFrame, column: str = "raw") -> DataFrame:
+    """raws with d, the text as a variant; null if it is no document. A generator of one row, so that nothing above parses again."""
+    object_ = F.ltrim(F.col(column)).startswith("{")
+    return raws.withColumn("d", F.explode(F.array(F.when(object_, F.try_parse_json(F.col(column))))))
 
 
 def quarantine(raws: DataFrame, column: str = "raw") -> DataFrame:
     """Rows whose text is no document: normalize() leaves them out."""
-    return raws.where(~is_document(F.col(column)))
+    return parsed(raws, column).where("d is null").drop("d")
 
 
 def normalize(raws: DataFrame, database: str = "", collection: str = "", column: str = "raw") -> DataFrame:
@@ -30,22 +27,37 @@ def normalize(raws: DataFrame, database: str = "", collection: str = "", column:
     it (for updated fields, broken says so). described: whether there is an update description at all. timestamp has whole
     seconds.
     """
-    read = raws.where(is_document(F.col(column))).select(F.col(column).alias("_raw"), F.from_json(column, RAW).alias("d"))
+    read = parsed(raws.select(F.col(column).alias("_raw")), "_raw").where("d is not null")
+    get = lambda path, kind: F.try_variant_get("d", path, kind)
     own = lambda c, other: F.when(F.coalesce(c, F.lit("")) == "", F.lit(other)).otherwise(c)
-    db, coll = own(F.col("d.ns.db"), database), own(F.col("d.ns.coll"), collection)
-    made = F.substring(F.sha2("_raw", 256), 1, 32)
-    update = F.col("d.updateDescription")
-    return read.select(
-        F.when(F.coalesce(F.col("d._id._data"), F.lit("")) == "", made).otherwise(F.col("d._id._data")).alias("id"),
-        F.coalesce("d.operationType", F.lit("")).alias("operation_type"), db.alias("database"), coll.alias("collection"), F.concat_ws(".", db, coll).alias("namespace"),
-        D.document_key(F.to_json("d.documentKey._id")).alias("document_key"), D.plain(F.to_json("d.fullDocument")).alias("full_document"),
-        update.isNotNull().alias("described"), D.plain(F.to_json(update["updatedFields"])).alias("updated_fields"), update["removedFields"].alias("removed_fields"),
-        (update["updatedFields"].isNotNull() & D.plain(F.to_json(update["updatedFields"])).isNull()).alias("broken"),
-        F.transform(update["truncatedArrays"], lambda x: x["field"]).alias("truncated_arrays"),
-        D.clock_of_millis(F.coalesce(F.col("d.clusterTime")["$timestamp"]["t"], F.lit(0)) * 1000).alias("timestamp"),
+    db, coll = own(get("$.ns.db", "string"), database), own(get("$.ns.coll", "string"), collection)
+    token, made = get("$._id._data", "string"), F.substring(F.sha2("_raw", 256), 1, 32)
+    update, key = get("$.updateDescription", "variant"), F.col("_key")
+    described = F.coalesce(F.schema_of_variant(update).startswith("OBJECT"), F.lit(False))
+    document = lambda path: F.nullif(F.to_json(get(path, "variant")), F.lit("null"))
+    # One conversion over the parts of a change that need it, so its expression is in the plan once.
+    texts = read.withColumns({"_key": F.to_json(get("$.documentKey._id", "variant")), "_full": document("$.fullDocument"), "_updated": document("$.updateDescription.updatedFields")})
+    texts = texts.withColumn("_plain", F.transform(F.array("_full", "_updated", F.when(D.odd_key(key), key)), D.plain))
+    return texts.select(
+        F.when(F.coalesce(token, F.lit("")) == "", made).otherwise(token).alias("id"),
+        F.coalesce(get("$.operationType", "string"), F.lit("")).alias("operation_type"), db.alias("database"), coll.alias("collection"), F.concat_ws(".", db, coll).alias("namespace"),
+        D.document_key(key, F.col("_plain")[2]).alias("document_key"), F.col("_plain")[0].alias("full_document"),
+        described.alias("described"), F.col("_plain")[1].alias("updated_fields"), get("$.updateDescription.removedFields", "array<string>").alias("removed_fields"),
+        D.beyond_json(F.col("_updated")).alias("broken"), F.transform(get("$.updateDescription.truncatedArrays", "array<struct<field:string,newSize:int>>"), lambda x: x["field"]).alias("truncated_arrays"),
+        D.clock_of_millis(F.coalesce(get("$.clusterTime['$timestamp'].t", "bigint"), F.lit(0)) * 1000).alias("timestamp"),
     )
 
 
+def normalize_binary(raws: DataFrame, database: str = "", collection: str = "", column: str = "raw") -> DataFrame:
+    """Change events of raw changes in their binary form; an event without id gets one made of its canonical text."""
+    return normalize(raws.select(bson.from_bson(F.col(column)).alias("raw")).where("raw is not null"), database, collection)
+
+
+def quarantine_binary(raws: DataFrame, column: str = "raw") -> DataFrame:
+    """Rows whose bytes are no document: normalize_binary() leaves them out."""
+    return raws.where(F.col(column).isNull() | bson.from_bson(F.col(column)).isNull())
+
+
 def is_empty_update(described: str = "described") -> Column:
     """An update that changed and removed no field; cut arrays do not count."""
     none = (F.coalesce(F.size(F.json_object_keys("updated_fields")), F.lit(0)) <= 0) & (F.coalesce(F.size("removed_fields"), F.lit(0)) <= 0)
@@ -70,7 +82,8 @@ def payloads(events: DataFrame, documents_only: bool = False) -> DataFrame:
         return events.where("not broken").withColumns({"content_type": F.lit("application/json"), "payload": event_json()})
     key = F.when((F.col("operation_type") == "delete") & (F.col("document_key") != ""), F.col("document_key"))
     has = F.col("full_document").isNotNull()
-    return events.withColumns({"content_type": F.when(has, "application/json").otherwise("text/plain"), "payload": F.when(has, F.col("full_document")).otherwise(key)}).where("payload is not null")
+    kept = events.where(has | key.isNotNull())
+    return kept.withColumns({"content_type": F.when(has, "application/json").otherwise("text/plain"), "payload": F.when(has, F.col("full_document")).otherwise(key)})
 
 
 def metadata(described: bool = False, most: int = 0) -> Column:

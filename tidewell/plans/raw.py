@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions import bson
 from tidewell.functions import documents as D
-from tidewell.functions.codecs import JsonEnvelope, JsonPayload
+from tidewell.functions.codecs import BsonEnvelope, BsonPayload, JsonEnvelope, JsonPayload
 from tidewell.operators import normalize as N
 from tidewell.plans.registry import query
 
@@ -128,3 +129,48 @@ def history_lost(r: DataFrame) -> DataFrame:
 @query("raw_changes", "select seq, 'relay-' || substr(sha256(cast(seq as varchar)), 1, 32) as worker_id from raw_changes")
 def worker_ids(r: DataFrame) -> DataFrame:
     return r.select("seq", D.worker_id("relay", F.col("seq").cast("string")).alias("worker_id"))
+
+
+# ---- the same changes in their binary form; of texts that are no document the bytes are taken as they are
+
+
+def binary(r: DataFrame) -> DataFrame:
+    return r.withColumn("raw", F.coalesce(bson.to_bson(F.col("raw")), F.col("raw").cast("binary")))
+
+
+TOKEN = "case when token = '' then 'made' else token end"
+
+
+@query("raw_changes", f"""select {TOKEN} as id, op as operation_type, {NS_DB} as database, {NS_COLL} as collection, {NS_DB} || '.' || {NS_COLL} as namespace, {KEY} as document_key, {FULL} as full_document, op = 'update' as described,
+{FIELDS} as updated_fields, case when op = 'update' then case when seq % 6 = 0 then 'old' else '' end end as removed, case when op = 'update' and seq % 5 = 0 then 'list' end as truncated, clock as timestamp from raw_changes where {GOOD}""")
+def raw_binary_normalize(r: DataFrame) -> DataFrame:
+    """As raw_normalize; ids made of the bytes are told by their length."""
+    joined = {"removed": F.array_join("removed_fields", ","), "truncated": F.array_join("truncated_arrays", ","), "id": F.when(F.length("id") == 32, "made").otherwise(F.col("id"))}
+    return N.normalize_binary(binary(r), DB, COLL).withColumns(joined).drop("removed_fields", "truncated_arrays", "broken")
+
+
+@query("raw_changes", "select seq, cast(strlen(raw) as bigint) as bytes from raw_changes where seq % 23 = 0")
+def raw_binary_quarantine(r: DataFrame) -> DataFrame:
+    """Bytes that are no document, whole: none is lost."""
+    return N.quarantine_binary(binary(r.select("seq", "raw"))).select("seq", F.octet_length("raw").cast("long").alias("bytes"))
+
+
+@query("raw_changes", f"""select {TOKEN} as id, 'cdc://' || {NS_DB} || '/' || {NS_COLL} as source, op as operation, {FULL} as payload, case when op = 'update' then 9 else 7 end as entries, clock as timestamp, cast(0 as integer) as retry_count
+from raw_changes where {GOOD} and {FULL} is not null""")
+def envelope_binary_round_trip(r: DataFrame) -> DataFrame:
+    """Messages whose payload is a binary document, in binary envelopes and back."""
+    e = N.payloads(N.normalize_binary(binary(r), DB, COLL), documents_only=True).where("content_type = 'application/json'")
+    m = N.messages(e, "cdc", described=True).withColumn("payload", bson.to_bson(F.decode("payload", "utf-8")))
+    codec = BsonEnvelope()
+    out = codec.decode(codec.encode(m))
+    text = D.plain(D.canonical(bson.from_bson(F.col("payload"))))
+    return out.select(F.when(F.length("id") == 32, "made").otherwise(F.col("id")).alias("id"), "source", F.element_at("metadata", "operation").alias("operation"), text.alias("payload"), F.size("metadata").alias("entries"), "timestamp", "retry_count")
+
+
+@query("raw_changes", f"select {ID} as id, cast(k as bigint) as n, 'n' || user_id as name, cast(2.5 as double) as x from raw_changes where {GOOD} and {FULL} is not null")
+def payload_binary_round_trip(r: DataFrame) -> DataFrame:
+    """Documents encoded by the binary payload codec and decoded to its schema."""
+    codec = BsonPayload("n bigint, name string, x double")
+    docs = events(r).where("full_document is not null")
+    encoded = docs.select("id", codec.encode(F.from_json("full_document", codec.schema)).alias("payload"))
+    return encoded.select("id", codec.decode(F.col("payload")).alias("d")).select("id", "d.n", "d.name", "d.x")
