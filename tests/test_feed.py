@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import documents as D
 from tidewell.operators import folds, monitor
 from tidewell.sources import changefeed
-from tidewell.streaming.feed import AckTable, Feed, Metrics, Options, PublishNotSupported
+from tidewell.streaming.feed import Ack, AckTable, DeadLetters, Feed, Metrics, Nack, Options, PublishNotSupported, Reject, per_message
 
 
 def put(folder, name, *keys, db="shop", coll="users", op="insert"):
@@ -72,21 +72,198 @@ def test_start_points(made):
 
 def test_history_lost(made):
     log, make = made
-    put(log, "0001", 1)
-    feed, seen = make(start_at="earliest")
-    feed.run()
-    os.remove(f"{log}/0001")
-    put(log, "0005", 5)
+    for n in (1, 2, 5):
+        put(log, f"000{n}", n)
+    one, seen = make(start_at="earliest", most_files=1)
+    one.start().awaitTermination()
+    os.remove(f"{log}/0002")  # never read
     told = []
     strict, seen = make(start_at="earliest", on_history_lost=lambda e: told.append(strict.checkpoint), most_restarts=3)
     strict.metrics = Metrics("x_")
     before = strict.checkpoint
     strict.run(sleep=lambda s: None)
-    assert told == [before] and strict.checkpoint != before and seen == [(0, ["0005-5"])]
-    assert strict.metrics.counters == {("x_stream_reconnections_total", "*.*:default", "history_lost"): 1} and strict.metrics.active == 0
+    assert told == [before] and strict.checkpoint != before and seen == [(0, ["0001-1", "0005-5"])]
+    assert strict.metrics.counters == {("x_stream_reconnections_total", "*.*:default", "history_lost"): 1, ("x_changes_processed_total", "all", "insert", "shop.users"): 2} and strict.metrics.active == 0
+    strict.metrics.close(strict.spark)
+    second, seen = make(start_at="earliest")  # a new process does not meet the same loss again
+    put(log, "0006", 6)
+    second.run()
+    assert [ids for _, ids in seen] == [["0006-6"]] and second.restarts == 0
+
+
+def test_what_was_read_may_go(made):
+    log, make = made
+    put(log, "0001", 1)
+    put(log, "0002", 2)
+    feed, seen = make(start_at="earliest")
+    feed.run()
+    assert changefeed.trim("file://" + log, "0002") == 2 and os.listdir(log) == ["_removed"]
+    put(log, "0003", 3)
+    feed.run()
+    assert [ids for _, ids in seen] == [["0001-1", "0002-2"], ["0003-3"]] and feed.restarts == 0
+    put(log, "0004", 4)
+    changefeed.trim("file://" + log, "0004")  # this one goes unread
+    put(log, "0005", 5)
+    told = []
+    other, _ = make(start_at="earliest", on_history_lost=told.append)
+    other.run()
+    assert "0004" in str(told[0]) and len(told) == 1
+
+
+def test_late_files_are_told(made):
+    log, make = made
+    put(log, "0002", 2)
+    feed, seen = make(start_at="earliest", most_restarts=0)
+    feed.run()
+    put(log, "0001", 1)
+    with pytest.raises(Exception, match="landed behind 0002"):
+        feed.run()
     loose, seen = make(start_at="earliest", fail_on_data_loss=False)
+    put(log, "0003", 3)
     loose.run()
-    assert [ids for _, ids in seen] == [["0005-5"]]
+    assert [ids for _, ids in seen] == [["0003-3"]]
+
+
+def test_admission_holds_from_the_first_batch_on(made):
+    log, make = made
+    for n in range(1, 8):
+        put(log, f"{n:04d}", n)
+    for already in (0, 7):
+        feed, seen = make(start_at="earliest", most_files=3)
+        feed.run()
+        assert [len(ids) for _, ids in seen] == [3, 3, 1]
+        for n in range(8, 15):
+            put(log, f"{n:04d}", n)
+        if already:
+            break
+        again, seen = make(start_at="earliest", most_files=3)  # a new process
+        again.run()
+        assert [len(ids) for _, ids in seen] == [3, 3, 1]
+        break
+
+
+def test_folders_before_the_place_are_not_listed(tmp_path):
+    for day in ("01", "02", "03"):
+        put(str(tmp_path / day), "a", 1)
+        put(str(tmp_path / day), "b", 2)
+    uri = tmp_path.as_uri()
+    assert [x.name for x in changefeed.listed(uri)] == ["01/a", "01/b", "02/a", "02/b", "03/a", "03/b"]
+    assert [x.name for x in changefeed.listed(uri, "02/a")] == ["02/a", "02/b", "03/a", "03/b"]
+    with pytest.raises(ValueError, match="scheme"):
+        changefeed.listed(str(tmp_path))
+
+
+def test_a_reset_holds_in_other_processes(made):
+    log, make = made
+    put(log, "0001", 1)
+    first, _ = make(start_at="latest")
+    first.run()
+    put(log, "0002", 2)
+    first.reset()  # from now on: 0002 is behind
+    put(log, "0003", 3)  # lands while no process runs
+    second, seen = make(start_at="latest")
+    assert second.checkpoint == first.checkpoint != first._base
+    second.run()
+    third, seen3 = make(start_at="latest")
+    put(log, "0004", 4)
+    third.run()
+    assert [ids for _, ids in seen + seen3] == [["0003-3"], ["0004-4"]]
+
+
+def change(folder, name, *changes):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/.{name}", "w") as f:
+        f.write("\n".join(c if isinstance(c, str) else json.dumps({"_id": {"_data": f"{name}-{i}"}, "ns": {"db": "d", "coll": "c"}, **c}) for i, c in enumerate(changes)))
+    os.rename(f"{folder}/.{name}", f"{folder}/{name}")
+
+
+def test_looked_up_images_over_restarts(made):
+    log, make = made
+    update = lambda k, fields, removed=(): {"operationType": "update", "documentKey": {"_id": k}, "updateDescription": {"updatedFields": fields, "removedFields": list(removed)}}
+    insert = lambda k, d: {"operationType": "insert", "documentKey": {"_id": k}, "fullDocument": d}
+    change(log, "1", insert(1, {"a": 1, "b": {"c": 2, "l": [1, 2]}}), update(1, {"a": 5}), update(2, {"x": 1}), insert(3, {"z": 0}))
+    change(log, "2", update(1, {"b.c": 7, "b.l.1": 9, "n.m": 1}, ["a"]), {"operationType": "delete", "documentKey": {"_id": 3}}, update(3, {"z": 1}), "no document")
+    got = {}
+
+    def take(batch, n):
+        got.update({r.id: json.loads(r.p) for r in batch.select("id", F.decode("payload", "utf-8").alias("p")).collect()})
+
+    for _ in range(2):  # a new process for each file
+        feed, _ = make(start_at="earliest", full_document="updateLookup", most_files=1)
+        feed.register("take", take)
+        feed.start().awaitTermination()
+    assert got["1-1"]["full_document"] == {"a": 5, "b": {"c": 2, "l": [1, 2]}} and "full_document" not in got["1-2"]
+    assert got["2-0"]["full_document"] == {"b": {"c": 7, "l": [1, 9]}, "n": {"m": 1}} and "full_document" not in got["2-2"] and len(got) == 7
+
+
+def test_outcomes_acks_dead_letters_and_metrics(spark, made, tmp_path):
+    log, make = made
+    op = lambda k, t: {"operationType": "insert", "documentKey": {"_id": k}, "fullDocument": {"k": k}, "clusterTime": {"$timestamp": {"t": t, "i": 1}}}
+    change(log, "1", *(op(k, 1_000 + k) for k in range(8)), "{broken", "5")
+    feed, seen = make(start_at="earliest")
+    feed.acks, feed.dead_letters = AckTable(str(tmp_path / "acks")), DeadLetters(str(tmp_path / "dead"))
+    feed.metrics = Metrics(clock=F.lit(1_003.5).cast("timestamp"))
+    order = []
+
+    def traced(label):
+        def wrap(name, handler):
+            def inner(batch, n):
+                order.append((label, name))
+                return handler(batch, n)
+
+            return inner
+
+        return wrap
+
+    feed.use(traced("outer"))
+    feed.use(traced("inner"))
+
+    def one(message):
+        k = json.loads(message["payload"])["full_document"]["k"]
+        if k == 1:
+            raise Reject("poison")
+        if k == 2:
+            raise Nack("later")
+        if k == 3:
+            raise ValueError("surprise")
+        if k == 4:
+            raise Ack("fine")
+
+    feed.register("each", per_message(one))
+    feed.run()
+    assert order == [("outer", "each"), ("inner", "each")] and len(seen[0][1]) == 8
+    state = {r.event_id: r.acked_at is not None for r in folds.ack_state(feed.acks.log(spark)).collect()}
+    assert state == {f"1-{k}": k not in (1, 2, 3) for k in range(8)}
+    dead = sorted((r.event_name, r.reason, bytes(r.payload).decode()[:7], r.error) for r in feed.dead_letters.read(spark).collect())
+    assert [d[:2] for d in dead] == [("", "malformed"), ("", "malformed"), ("each", "reject")] and dead[2][3] == "poison" and {d[2] for d in dead[:2]} == {"{broken", "5"}
+    m = feed.metrics
+    assert m.counters["changes_processed_total", "each", "insert", "d.c"] == 5 and m.counters["changes_failed_total", "each", "insert", "d.c"] == 3 and m.counters["changes_processed_total", "all", "insert", "d.c"] == 8
+    events = spark.createDataFrame([(3.5 - k,) for k in range(8)], "lag double")
+    assert m.lags == {r.bucket: r.n for r in monitor.histogram(events, F.col("lag")).collect()} and m.counters["changes_malformed_total",] == 2
+    assert sum(m.durations.values()) == 8 and {n for n, _ in m.durations} == {"each"}
+    m.close(spark)
+
+
+def test_failing_handlers_dont_starve_the_others(made):
+    log, make = made
+    put(log, "0001", 1)
+    errors, runs = [], []
+    feed, seen = make(start_at="earliest", on_error=errors.append)
+
+    def failing(name, times):
+        def handler(batch, n):
+            runs.append(name)
+            if runs.count(name) <= times:
+                raise RuntimeError(f"{name} broke")
+
+        return handler
+
+    feed.register("a", failing("a", 1))
+    feed.register("b", failing("b", 2))
+    feed.register("c", failing("c", 0))
+    feed.run(sleep=lambda s: None)
+    assert "a: a broke; b: b broke" in str(errors[0]) and "b: b broke" in str(errors[1]) and "a broke" not in str(errors[1]).split("===")[0]
+    assert len(seen) == 1 and sorted(runs) == ["a", "a", "b", "b", "b", "c"]
 
 
 def test_watch_levels(made):
@@ -129,7 +306,7 @@ def test_pending_is_noted_before_and_acknowledged_after(spark, made, tmp_path):
     assert [(r.event_id, r.acked_at) for r in state().orderBy("event_id").collect()] == [("0001-1", None), ("0001-2", None)]
     feed.unregister("bad")
     feed.run()
-    assert state().where("acked_at is null").count() == 0 and len(seen) == 2
+    assert state().where("acked_at is null").count() == 0 and len(seen) == 1  # who had the batch does not get it again
 
     class Broken(AckTable):
         def store(self, ids, batch):
@@ -178,11 +355,19 @@ def test_required_images(made):
     assert seen == [(0, ["a"])]
 
 
-def test_blocks_of_long_files(tmp_path):
-    lines = [f'{{"n":{i},"pad":"{"é" * 300}"}}' for i in range(9000)]
-    (tmp_path / "f").write_text("\n".join(lines) + "\n")
-    batches = list(changefeed.Reader({"path": str(tmp_path)}).read(changefeed.LandedFile("f")))
-    assert [x for b in batches for x in b.column(2).to_pylist()] == lines and [x for b in batches for x in b.column(1).to_pylist()] == list(range(9000))
+@pytest.mark.parametrize("size", [1 << 30, 1_000_000, 999, 7])
+def test_ranges_of_long_files(tmp_path, monkeypatch, size):
+    monkeypatch.setattr(changefeed, "BLOCK", 10_000)
+    lines = [f'{{"n":{i},"pad":"{"é" * (i % 300)}"}}' for i in range(9000 if size > 10_000 else 60)]
+    (tmp_path / "f").write_text("\n".join(lines) + ("\n" if size != 999 else ""))
+    reader = changefeed.Reader({"path": tmp_path.as_uri(), "startat": "earliest", "bytespertask": str(size)})
+    start = reader.initialOffset()
+    parts = reader.partitions(start, reader.latestOffset())
+    assert len(parts) == -(-os.path.getsize(tmp_path / "f") // size)
+    batches = [b for p in parts for b in reader.read(p)]
+    assert [x for b in batches for x in b.column(2).to_pylist()] == lines
+    whole = (tmp_path / "f").read_bytes()
+    assert all(whole[p:].startswith(x.encode()) for b in batches for p, x in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True))
     assert max(b.num_rows for b in batches) <= changefeed.LINES
 
 

@@ -128,7 +128,11 @@ def full_summary(df: DataFrame, as_of: str, filter_: Filter = Filter()) -> DataF
     return out.where(~((F.col("facet") == 6) & F.col("instance_id").eqNullSafe("")))
 
 
+def bucket(seconds: Column, bounds: Sequence[float] = LAG_BOUNDS) -> Column:
+    """The number of bounds below the value; negative values count as 0."""
+    return F.size(F.filter(F.array(*(F.lit(float(b)) for b in bounds)), lambda b: F.greatest(seconds, F.lit(0.0)) > b))
+
+
 def histogram(df: DataFrame, seconds: Column, bounds: Sequence[float] = LAG_BOUNDS, by: Sequence[str] = (), more: Sequence[Column] = ()) -> DataFrame:
-    """Rows per bucket: a bucket's index is the number of bounds below the value; negative values count as 0."""
-    bucket = F.size(F.filter(F.array(*(F.lit(float(b)) for b in bounds)), lambda b: F.greatest(seconds, F.lit(0.0)) > b))
-    return df.groupBy(*by, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), *more)
+    """Rows per bucket()."""
+    return df.groupBy(*by, bucket(seconds, bounds).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), *more)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import bson
 from tidewell.functions import documents as D
 
+
 def parsed(raws: DataFrame, column: str = "raw") -> DataFrame:
     """raws with d, the text as a variant; null if it is no document. A generator of one row, so that nothing above parses again."""
     object_ = F.ltrim(F.col(column)).startswith("{")
@@ -19,15 +22,17 @@ def quarantine(raws: DataFrame, column: str = "raw") -> DataFrame:
     return parsed(raws, column).where("d is null").drop("d")
 
 
-def normalize(raws: DataFrame, database: str = "", collection: str = "", column: str = "raw") -> DataFrame:
+def normalize(raws: DataFrame, database: str = "", collection: str = "", column: str = "raw", keep: Sequence[str] = (), malformed: bool = False) -> DataFrame:
     """Change events of raw documents.
 
     An event without id gets one made of its text, so that a task that runs again gives the same; a namespace that is not
     there is the source's own. full_document, updated_fields: JSON text; null if absent, or if JSON can't hold a number of
     it (for updated fields, broken says so). described: whether there is an update description at all. timestamp has whole
-    seconds.
+    seconds. keep: columns of raws to carry along. malformed: texts that are no document stay, in a column of that name that is
+    null for events.
     """
-    read = parsed(raws.select(F.col(column).alias("_raw")), "_raw").where("d is not null")
+    read = parsed(raws.select(F.col(column).alias("_raw"), *keep), "_raw")
+    read = read if malformed else read.where("d is not null")
     get = lambda path, kind: F.try_variant_get("d", path, kind)
     own = lambda c, other: F.when(F.coalesce(c, F.lit("")) == "", F.lit(other)).otherwise(c)
     db, coll = own(get("$.ns.db", "string"), database), own(get("$.ns.coll", "string"), collection)
@@ -45,6 +50,7 @@ def normalize(raws: DataFrame, database: str = "", collection: str = "", column:
         described.alias("described"), F.col("_plain")[1].alias("updated_fields"), get("$.updateDescription.removedFields", "array<string>").alias("removed_fields"),
         D.beyond_json(F.col("_updated")).alias("broken"), F.transform(get("$.updateDescription.truncatedArrays", "array<struct<field:string,newSize:int>>"), lambda x: x["field"]).alias("truncated_arrays"),
         D.clock_of_millis(F.coalesce(get("$.clusterTime['$timestamp'].t", "bigint"), F.lit(0)) * 1000).alias("timestamp"),
+        *keep, *([F.when(F.col("d").isNull(), F.coalesce("_raw", F.lit(""))).alias("malformed")] if malformed else []),
     )
 
 
@@ -77,12 +83,16 @@ def event_json() -> Column:
 
 
 def payloads(events: DataFrame, documents_only: bool = False) -> DataFrame:
-    """events with content_type and payload: the whole event (a broken one goes), or its document alone (a delete gives its key as text, what has neither goes)."""
+    """events with content_type and payload: the whole event (a broken one goes), or its document alone (a delete gives its key as text, what has neither goes).
+
+    Rows of normalize(malformed=True) that are no events stay, with their text.
+    """
+    apart = F.col("malformed").isNotNull() if "malformed" in events.columns else F.lit(False)
     if not documents_only:
-        return events.where("not broken").withColumns({"content_type": F.lit("application/json"), "payload": event_json()})
+        return events.where(apart | ~F.col("broken")).withColumns({"content_type": F.lit("application/json"), "payload": event_json()})
     key = F.when((F.col("operation_type") == "delete") & (F.col("document_key") != ""), F.col("document_key"))
     has = F.col("full_document").isNotNull()
-    kept = events.where(has | key.isNotNull())
+    kept = events.where(apart | has | key.isNotNull())
     return kept.withColumns({"content_type": F.when(has, "application/json").otherwise("text/plain"), "payload": F.when(has, F.col("full_document")).otherwise(key)})
 
 
@@ -98,6 +108,7 @@ def metadata(described: bool = False, most: int = 0) -> Column:
 
 
 def messages(events: DataFrame, scheme: str, described: bool = False, most: int = 0) -> DataFrame:
-    """id, source, payload (bytes), metadata, timestamp, retry_count of events with payload and content_type."""
+    """id, source, payload (bytes), metadata, timestamp, retry_count (and malformed, if it is there) of events with payload and content_type."""
+    more = [c for c in ("malformed",) if c in events.columns]
     source = F.concat(F.lit(scheme + "://"), "database", F.lit("/"), "collection")
-    return events.select("id", source.alias("source"), F.encode("payload", "utf-8").alias("payload"), metadata(described, most).alias("metadata"), "timestamp", F.lit(0).alias("retry_count"))
+    return events.select("id", source.alias("source"), F.encode("payload", "utf-8").alias("payload"), metadata(described, most).alias("metadata"), "timestamp", F.lit(0).alias("retry_count"), *more)
