@@ -8,10 +8,11 @@ Independent trees: tree t's root deals all classes by coordinate t, so a node ho
 is done when its classes are one component, or when few of them (SMALL) are outside its main component: those are compared with
 all others of the node. A node that isn't branches: a hash of the node selects one coordinate, or two with the probability that
 makes den / num children on average, and its classes go to a child for each token they choose. Classes that only share a common
-passage part ways, similar ones stay together; after DEEPEST levels what is left is compared in blocks, whatever its size.
+passage part ways, similar ones stay together; after DEEPEST levels, or as soon as all of it costs no more than CHEAP sketches
+for each class, what is left is compared in blocks, whatever its size.
 
-Before a node is compared, each of its classes is verified against one of them (the hub), so a node of near copies gives one pair
-a member and is one component then. Compared pairs are only formed if their sketches (4 bits of each coordinate) agree in
+Large nodes' classes are first verified against one of them (the hub), so a node of near copies gives one pair a member and is
+one component then; the FIRST trees do so ahead of the others. Compared pairs are only formed if their sketches (4 bits of each coordinate) agree in
 so many places as linked sets miss once in 10^8 pairs; all formed pairs are verified on the whole texts' sets.
 
 Recall: a pair of similarity s stays together through k branchings with probability q(k), q(0) = 1, q(k) = 1 - E[(1 - s q(k - 1))^c] for c
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import materialize, release
 from .jaccard import ROWS, _hub_pairs, _labelled, _labels, _near_sizes, _pairs, _row_key, _texts, _verified, components, smallest_ids, tokens
 
-COORDINATES, SMALL, DEEPEST, RECALL, BLOCK = 64, 128, 5, 0.9999, 1_024
+COORDINATES, SMALL, DEEPEST, RECALL, BLOCK, FIRST, CHEAP = 64, 128, 5, 0.9999, 1_024, 2, 256
 #: Chance that a pair at the bar is apart in more places of its sketch than most_apart() allows.
 SKETCH_MISS = 1e-8
 _SEEDS = np.random.default_rng(13).integers(1 << 63, size=(2, COORDINATES), dtype=np.uint64) | np.uint64(1)
@@ -165,7 +166,8 @@ def linked(docs: DataFrame, n: int = 5, num: int = 85, den: int = 100, n_trees:
     rows = materialize(sets.drop("chosen", "bits"), "rows")
     release(sets)
 
-    nodes = materialize(_roots(reps, n_trees or trees(num, den, deepest)), "nodes")
+    n_trees = n_trees or trees(num, den, deepest)
+    nodes = materialize(_roots(reps, n_trees), "nodes")
     links, tried, comps, texts, passing = None, None, None, None, []
 
     def verify(pairs: DataFrame) -> None:
@@ -190,17 +192,32 @@ def linked(docs: DataFrame, n: int = 5, num: int = 85, den: int = 100, n_trees:
         nodes = mixed
         return mixed
 
+    def of_hubs(mixed: DataFrame) -> DataFrame:
+        rows = mixed.withColumn("rare", F.xxhash64("key", "id")).join(reps.select("id", "bits"), "id")
+        return _hub_pairs(rows, False, num, den, _near_sketches(num, den))
+
+    # A group of near copies is one component after few trees, and its nodes in the others then need no pair.
+    first = materialize(_labelled(_roots(reps, min(FIRST, n_trees)), None), "first")
+    verify(of_hubs(first))
+    release(first)
+    classes_ = reps.count()
     for level in range(deepest + 1):
-        hubs = still_mixed().withColumn("rare", F.xxhash64("key", "id")).join(reps.select("id", "bits"), "id")
-        verify(_hub_pairs(hubs, False, num, den, _near_sketches(num, den)))
         settled = materialize(_settled(still_mixed()), "settled")
-        last = level == deepest
-        verify(_compared(settled if last else settled.where(F.col("outside") <= small), reps, num, den))
+        deep = settled.where(F.col("outside") > small)
+        cost = settled.groupBy("key").agg(F.max(F.col("outside") * F.col("n")).alias("pairs")).agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
+        last = level == deepest or cost <= CHEAP * classes_
+        if last:  # whatever its size; large nodes against their hubs first
+            if deep.limit(1).count():
+                verify(of_hubs(deep))
+                release(settled)
+                settled = materialize(_settled(still_mixed()), "settled")
+            verify(_compared(settled, reps, num, den))
+            release(settled)
+            break
+        verify(of_hubs(deep).unionByName(_compared(settled.where(F.col("outside") <= small), reps, num, den)).groupBy("a", "b").agg(F.max("from_a").alias("from_a")))
         release(nodes)
-        nodes = materialize(_children(settled.where(F.col("outside") > small), reps, num, den), "nodes")
+        nodes = materialize(_children(deep, reps, num, den), "nodes")
         release(settled)
-        if last or not nodes.limit(1).count():
-            break
     release(nodes, reps, *passing)
     return _labels(rows, classes, comps)
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, join_counted, materialize, release
 
-ROWS, FREQUENT, MOST_FREQUENT, BROADCAST_IDS, BLOCK, BITS, PER_HUB = 256, 32, 1 << 20, 200_000, 1_024, 512, 1_000
+ROWS, FREQUENT, MOST_FREQUENT, BROADCAST_IDS, BLOCK, BITS, PER_HUB = 256, 32, 1 << 20, 200_000, 1_024, 512, 250
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
