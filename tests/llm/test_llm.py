@@ -258,7 +258,7 @@ def every_path(tagger, e):
 
 def test_pii_likelihood_and_viterbi_against_enumeration():
     tagger, r = small_tagger(3), np.random.default_rng(3)
-    x, y = r.integers(0, pii.CLASSES, (2, 4)), r.integers(0, pii.TAGS, (2, 4))
+    x, y = r.integers(0, pii.ALPHABET, (2, 4)), r.integers(0, pii.TAGS, (2, 4))
     e = tagger.scores(x)
     want = []
     for k in range(2):
@@ -270,7 +270,7 @@ def test_pii_likelihood_and_viterbi_against_enumeration():
 
 def test_pii_gradient_against_differences():
     tagger, r = small_tagger(4), np.random.default_rng(4)
-    x, y = r.integers(0, pii.CLASSES, (3, 6)), r.integers(0, pii.TAGS, (3, 6))
+    x, y = r.integers(0, pii.ALPHABET, (3, 6)), r.integers(0, pii.TAGS, (3, 6))
     _, grad = tagger.loss(x, y)
     for name, value in tagger.p.items():
         for at in r.choice(value.size, min(value.size, 12), replace=False):
@@ -284,20 +284,46 @@ def test_pii_gradient_against_differences():
 
 
 def test_pii_path_of_a_whole_text_and_windows():
-    """Texts over many windows and blocks: what is left out by the margin never changes the path of the whole text."""
+    """Texts over many windows and blocks: what is left out as impossible never changes the path of the whole text."""
     tagger, held = pii.trained(), pii.labelled_texts(40, seed=5)
     whole = " ".join(t for t, _ in held) + " x" * 40
     one = pii.Tagger()
     one.p = tagger.p
     stretches = tagger.undecided([whole])
     assert 0 < sum(len(e) for *_, e in stretches) < len(whole)
-    one.margin = lambda: 1e9  # every character is decided by the search
+    one.possible = lambda e, lengths: np.ones(len(e), bool)  # every character is decided by the search
     full = one.undecided([whole])
     assert len(full) == 1 and len(full[0][4]) == len(whole)
     assert [x[:3] for x in one.spans([whole])[0]] == [x[:3] for x in tagger.spans([whole])[0]] != []
     assert tagger.spans(["", "a", whole])[2] == tagger.spans([whole])[0]
 
 
+def test_pii_stretches_hold_every_span_of_the_best_path():
+    """Random scores and transitions, free ones as large as the scores: the path of the stretches is that of the whole."""
+    left = 0
+    for seed in range(200):
+        tagger, r = small_tagger(seed), np.random.default_rng(seed)
+        tagger.p["t"] = r.normal(0, 3, tagger.p["t"].shape)
+        e = r.normal(0, 2, (60, pii.TAGS))
+        e[:, 0] += r.uniform(0, 12)
+        cut = [0, *sorted(r.integers(0, 61, 3).tolist()), 60]
+        mask = tagger.possible(e, np.diff(cut))
+        for i, j in zip(cut, cut[1:], strict=False):
+            if i < j:
+                assert mask[i:j][tagger.paths([e[i:j]], [True], [True])[0] > 0].all()
+        left += int((~mask).sum())
+    assert left > 500
+
+
+def test_pii_weights_are_kept_and_transitions_are_learned(spark, monkeypatch):
+    tagger = pii.kept(spark)
+    monkeypatch.setattr(pii, "trained", lambda: 1 / 0)
+    again = pii.kept(spark)
+    assert again.bar == tagger.bar and all((again.p[k] == tagger.p[k]).all() for k in tagger.p)
+    free = np.abs(tagger.p["t"])
+    assert len(np.unique(np.round(free, 3))) > 60 and free.max() > 1
+
+
 def test_pii_repeated_rows_names_and_no_rows(spark):
     rows = [(1, "a@b.cc", "n"), (1, "a@b.cc", "n"), (None, None, "m")]
     got = pii.find(spark.createDataFrame(rows, "doc_id bigint, text string, spans string")).collect()

@@ -7,9 +7,13 @@ edge, so that each text has one row of scores; one Viterbi path over that whole
 spans. An added span overlaps no base span, passes the exact test of its kind (holds()), and its confidence (the mean lead of its tags over the next best) reaches a bar
 that is set on labelled texts held out of the training, where spans above it are right in PRECISION of the cases.
 
-The path is exact although most characters are never searched: where the score of no span leads by more than any two
-transitions can make up for, the best path has no span there, whatever its neighbours are; only what lies between such
-characters is decoded.
+The path is exact although most characters are never searched. The transitions can be moved into
+the scores so that none gains over no span; a span of the best path then can't be on a stretch over which no span leads in
+sum. Two running extrema over a text give all stretches where it doesn't, and only these are decoded.
+
+A character enters the network as the sum of two learned vectors: one of its class, one of the code point itself (ASCII: its
+own; others: of a bucket of code points of its class). The weights are trained once and kept in the shared folder, by a
+hash of this module's parameters and generator. A text takes about 40 bytes a character while it is read.
 
 Defined results: a null or empty text has no spans (base_sha256 is that of no bytes); rows that repeat are read each; an
 empty table gives an empty result; offsets count code points, ends exclusive; long texts are read in blocks of windows. Extra
@@ -19,6 +23,7 @@ columns pass through; a column named like one of the results gives way to it.
 from __future__ import annotations
 
 import hashlib
+import inspect
 import random
 import re
 from collections.abc import Iterator
@@ -26,7 +31,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from .common import shared_dir
 
 KINDS = ("email", "ip", "card", "phone")
 # The patterns of the contract. The two that could rescan a run only start where a run starts.
@@ -37,13 +44,16 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 #: Characters a window and from one to the next in reading, characters a window in training; windows read at once; texts at once.
-WINDOW, STRIDE, CUT, BLOCK, ROWS = 256, 224, 64, 1_024, 256
-HIDDEN, STEPS, BATCH, SEED, EXAMPLES, PRECISION, STEEP = 12, 600, 48, 7, 3_000, 0.97, 0.3
+WINDOW, STRIDE, CUT, BLOCK, ROWS = 512, 480, 64, 1_024, 256
+HIDDEN, STEPS, BATCH, SEED, EXAMPLES, PRECISION = 10, 700, 48, 7, 3_000, 0.97
 TAGS = 1 + 2 * len(KINDS)  # 0: none; 1 + 2k: begin of kind k; 2 + 2k: inside of kind k
 # Punctuation marks with a class of their own; then digit, lower, upper, space, line break, other, pad.
 MARKS = "@.-+()_%/:=,'\"#"
 DIGIT, LOWER, UPPER, SPACE, BREAK, OTHER, PAD = range(len(MARKS), len(MARKS) + 7)
 CLASSES = PAD + 1
+#: Codes of characters: ASCII, then BUCKETS for each class of the others, then pad.
+ASCII, BUCKETS = 128, 16
+ALPHABET = ASCII + BUCKETS * len((DIGIT, LOWER, UPPER, SPACE, BREAK, OTHER)) + 1
 Span = tuple[int, int, int]  # start, kind, end
 
 
@@ -132,20 +142,20 @@ def labelled_texts(n: int, seed: int = SEED) -> list[tuple[str, list[Span]]]:
     return out
 
 
-def _class_table() -> np.ndarray:
-    table = np.full(256, OTHER, np.int64)
-    for c in range(256):
-        ch = chr(c)
-        table[c] = MARKS.index(ch) if ch in MARKS else DIGIT if ch in "0123456789" else LOWER if ch.islower() else UPPER if ch.isupper() else BREAK if ch in "\r\n" else SPACE if ch.isspace() else OTHER
-    return table
+def _class(ch: str) -> int:
+    return MARKS.index(ch) if ch in MARKS else DIGIT if ch.isdigit() else UPPER if ch.isupper() else LOWER if ch.isalpha() else BREAK if ch in "\r\n" else SPACE if ch.isspace() else OTHER
 
 
-TABLE = _class_table()
+#: The code of each character of the basic plane; those beyond are OTHER.
+TABLE = np.array([c if c < ASCII else ASCII + BUCKETS * (_class(chr(c)) - DIGIT) + c * 31 % 251 % BUCKETS for c in range(1 << 16)], np.int64)
+#: The class of each code.
+CLASS_OF = np.array([_class(chr(c)) for c in range(ASCII)] + [DIGIT + k // BUCKETS for k in range(ALPHABET - 1 - ASCII)] + [PAD])
+END = ALPHABET - 1
 
 
-def classes_of(text: str) -> np.ndarray:
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    return np.where(points < 256, TABLE[np.minimum(points, 255)], LOWER)
+def codes_of(text: str) -> np.ndarray:
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.where(points < 1 << 16, TABLE[np.minimum(points, (1 << 16) - 1)], ASCII + BUCKETS * (OTHER - DIGIT) + points % BUCKETS).astype(np.int64)
 
 
 def tags_of(spans: list[Span], n: int) -> np.ndarray:
@@ -185,18 +195,22 @@ class Tagger:
     def __init__(self, seed: int = SEED, hidden: int = HIDDEN, kind: type = np.float32):
         g, h = np.random.default_rng(seed), hidden
         self.hidden, self.kind = h, kind
-        self.p = {f"{d}{k}": g.normal(0, s, shape).astype(kind) for d in "fb" for k, s, shape in (("x", 0.3, (CLASSES, 4 * h)), ("h", 0.25, (h, 4 * h)))}
+        self.p = {f"{d}{k}": g.normal(0, s, shape).astype(kind) for d in "fb" for k, s, shape in (("x", 0.3, (CLASSES, 4 * h)), ("e", 0.05, (ALPHABET, 4 * h)), ("h", 0.25, (h, 4 * h)))}
         self.p |= {"o": g.normal(0, 0.2, (2 * h, TAGS)).astype(kind), "c": np.zeros(TAGS, kind), "t": np.zeros((TAGS, TAGS), kind), "s": np.zeros(TAGS, kind)}
         for d in "fb":
             self.p[d + "x"][:, h : 2 * h] += 1  # forget gates start open
 
+    def table(self, d: str) -> np.ndarray:
+        """What each code adds to the gates: its class's vector and its own."""
+        return self.p[d + "x"][CLASS_OF] + self.p[d + "e"]
+
     def _lstm(self, d: str, x: np.ndarray, keep: list) -> np.ndarray:
         """States (time, rows, hidden) of x (rows, time) read in the order given, with what the way back needs."""
-        h, rows = self.hidden, len(x)
+        h, rows, table = self.hidden, len(x), self.table(d)
         state, cell = np.zeros((rows, h), self.kind), np.zeros((rows, h), self.kind)
         out = np.empty((x.shape[1], rows, h), self.kind)
         for t in range(x.shape[1]):
-            z = self.p[d + "x"][x[:, t]] + state @ self.p[d + "h"]
+            z = table[x[:, t]] + state @ self.p[d + "h"]
             gates = _gate(z[:, : 3 * h])
             raw = z[:, 3 * h :]
             new = _bend(raw)
@@ -209,7 +223,7 @@ class Tagger:
         return out
 
     def _lstm_back(self, d: str, x: np.ndarray, kept: list, dout: np.ndarray, grad: dict) -> None:
-        gx, gh = np.zeros_like(self.p[d + "x"]), np.zeros_like(self.p[d + "h"])
+        gx, gh = np.zeros_like(self.p[d + "e"]), np.zeros_like(self.p[d + "h"])
         dstate, dcell = np.zeros_like(dout[0]), np.zeros_like(dout[0])
         for t in reversed(range(x.shape[1])):
             state, before, i, f, o, new, bent, raw, cell = kept[t]
@@ -217,10 +231,11 @@ class Tagger:
             dc = dcell + dh * o * _bend_slope(cell)
             slope = [0.25 * ((g > 0) & (g < 1)) for g in (i, f, o)]
             dz = np.concatenate([dc * new * slope[0], dc * before * slope[1], dh * bent * slope[2], dc * i * _bend_slope(raw)], 1)
-            gx += np.eye(CLASSES, dtype=self.kind)[x[:, t]].T @ dz
+            gx += np.eye(ALPHABET, dtype=self.kind)[x[:, t]].T @ dz
             gh += state.T @ dz
             dstate, dcell = dz @ self.p[d + "h"].T, dc * f
-        grad[d + "x"], grad[d + "h"] = gx, gh
+        grad[d + "e"], grad[d + "h"] = gx, gh
+        grad[d + "x"] = np.eye(CLASSES, dtype=self.kind)[CLASS_OF].T @ gx
 
     def loss(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
         """Mean negative log-likelihood of tags y (rows, time) under the CRF, and its gradient."""
@@ -256,10 +271,10 @@ class Tagger:
     def fit(self, examples: list[tuple[str, list[Span]]], steps: int = STEPS, seed: int = SEED) -> float:
         """Adam over windows cut from labelled texts, a few of them padded; the last loss."""
         r = np.random.default_rng(seed)
-        coded = [(classes_of(t), tags_of(s, len(t))) for t, s in examples]
+        coded = [(codes_of(t), tags_of(s, len(t))) for t, s in examples]
         m, v, loss = {k: 0.0 for k in self.p}, {k: 0.0 for k in self.p}, 0.0
         for step in range(1, steps + 1):
-            x, y = np.full((BATCH, CUT), PAD), np.zeros((BATCH, CUT), np.int64)
+            x, y = np.full((BATCH, CUT), END), np.zeros((BATCH, CUT), np.int64)
             for row, k in enumerate(r.integers(0, len(coded), BATCH)):
                 c, tags = coded[k]
                 o, n = int(r.integers(0, max(1, len(c) - CUT + 1))), CUT if r.random() < 0.85 else int(r.integers(1, CUT))
@@ -270,7 +285,6 @@ class Tagger:
                 g = np.clip(g, -5, 5)
                 m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.99 * v[k] + 0.01 * g * g
                 self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)).astype(self.kind)
-            self.p["t"] = self.p["t"].clip(-STEEP, STEEP)  # so that few characters are left undecided by margin()
         return loss
 
     def scores(self, x: np.ndarray) -> np.ndarray:
@@ -278,11 +292,11 @@ class Tagger:
         h, (rows, time) = self.hidden, x.shape
         # Gates first, then directions: (gate, direction, row, unit), so that each gate lies in one piece.
         scale, shift = (np.array(v, self.kind)[:, None, None, None] for v in ((0.25, 0.25, 0.25, 1), (0.5, 0.5, 0.5, 0)))
-        by_gate = lambda k, n: np.stack([self.p["f" + k], self.p["b" + k]]).reshape(2, n, 4, h).transpose(2, 0, 1, 3) * scale
-        inner, table = by_gate("h", h), (by_gate("x", CLASSES) + shift).reshape(4, 2 * CLASSES, h)
+        by_gate = lambda f, b, n: np.stack([f, b]).reshape(2, n, 4, h).transpose(2, 0, 1, 3) * scale
+        inner, table = by_gate(self.p["fh"], self.p["bh"], h), (by_gate(self.table("f"), self.table("b"), ALPHABET) + shift).reshape(4, 2 * ALPHABET, h)
         state, cell = np.zeros((2, rows, h), self.kind), np.zeros((2, rows, h), self.kind)
         out, z = np.empty((2, time, rows, h), self.kind), np.empty((4, 2, rows, h), self.kind)
-        codes = np.stack([x.T, x.T[::-1] + CLASSES], 1)
+        codes = np.stack([x.T, x.T[::-1] + ALPHABET], 1)
         for t in range(time):
             np.matmul(state, inner, out=z)
             z += table.take(codes[t], axis=1)
@@ -295,12 +309,34 @@ class Tagger:
             out[0, t], out[1, time - 1 - t] = state[0], state[1]
         return (out[0] @ self.p["o"][:h] + out[1] @ self.p["o"][h:] + self.p["c"]).transpose(1, 0, 2)
 
-    def margin(self) -> float:
-        """The most that two transitions can gain over the same with no span between them, or one at an end of the text."""
+    def possible(self, e: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Where in texts of these lengths, with scores e (time, TAGS) one after the other, a span of the best path can be at all.
+
+        What leaving a tag for no span gains or loses over staying without one is moved to where the tag is entered (out),
+        and the best way into each tag into its scores (into), so that no transition gains over no span. A span from i to j
+        then needs sum(lead) <= enter over i..j: lead is how far no span is ahead, enter <= 0 the best entry from no span.
+        At a text's start a span is entered otherwise, at its end it is not left: both are made up for in the lead there.
+        """
         t, s = self.p["t"].astype(float), self.p["s"].astype(float)
-        inside = (t[:, :, None] + t[None] - t[:, :1, None] - t[None, :1]).max()
-        ends = max((t - t[:, :1]).max(), (s[:, None] + t - s[0] - t[:1]).max(), (s - s[0]).max())
-        return float(max(inside, ends))
+        out = t[0, 0] - t[:, 0]
+        at_start = s - out - s[0] + t[0, 0]
+        into = np.maximum((t + out[:, None] - out).max(0), at_start)
+        into[0] = t[0, 0]
+        enter = float((t[0] - out - into)[1:].max())
+        best = e[:, 1] + into[1]
+        for b in range(2, TAGS):
+            np.maximum(best, e[:, b] + into[b], out=best)
+        ends = np.cumsum(lengths[lengths > 0])
+        lead = (e[:, 0] + into[0] - best).astype(float)
+        if len(lead):
+            lead[ends - lengths[lengths > 0]] -= max(0.0, float((at_start - into)[1:].max()) - enter)
+            lead[ends - 1] -= max(0.0, float(out.max()))
+        # A long lead between texts keeps their sums apart.
+        apart = np.insert(lead, ends[:-1], 1e6) if len(ends) > 1 else lead
+        total = np.cumsum(apart)
+        before = np.maximum.accumulate(np.concatenate([[0.0], total[:-1]]))
+        mask = np.minimum.accumulate(total[::-1])[::-1] - before <= enter + 1e-3
+        return np.delete(mask, ends[:-1] + np.arange(len(ends) - 1)) if len(ends) > 1 else mask
 
     def paths(self, stretches: list[np.ndarray], first: list[bool], last: list[bool]) -> list[np.ndarray]:
         """The best tags of stretches of scores. Where a stretch is not at the text's start or end, no span stands before or behind it."""
@@ -316,38 +352,42 @@ class Tagger:
             best, back = e[0] + np.where(np.array([first[i] for i in own])[:, None], s, t[0]), np.zeros((sizes[0], len(own), TAGS), np.int8)
             for j in range(1, sizes[0]):
                 live = int((sizes > j).sum())
-                to = best[:live, :, None] + t
-                back[j, :live] = to.argmax(1)
-                best[:live] = to.max(1) + e[j, :live]
+                now, most, by = best[:live], best[:live, :1] + t[0], back[j, :live]
+                for a in range(1, TAGS):
+                    to = now[:, a : a + 1] + t[a]
+                    by[to > most] = a
+                    np.maximum(most, to, out=most)
+                best[:live] = most + e[j, :live]
             end = (best + np.where(np.array([last[i] for i in own])[:, None], 0, t[:, 0])).argmax(1)
+            tags, each = np.zeros((sizes[0], len(own)), np.int64), np.arange(len(own))
+            tags[sizes - 1, each] = end
+            for j in range(sizes[0] - 1, 0, -1):
+                live = int((sizes > j).sum())
+                tags[j - 1, :live] = back[j, each[:live], tags[j, :live]]
             for k, i in enumerate(own):
-                tags = np.empty(sizes[k], np.int64)
-                tags[-1] = end[k]
-                for j in range(sizes[k] - 1, 0, -1):
-                    tags[j - 1] = back[j, k, tags[j]]
-                out[i] = tags
+                out[i] = tags[: sizes[k], k].copy()
         return out
 
     def undecided(self, texts: list[str]) -> list[tuple[int, int, bool, bool, np.ndarray]]:
         """Of each text the stretches that may hold spans: text, start, whether at its start or end, scores."""
         owners, starts, chunks = [], [], []
         for k, text in enumerate(texts):
-            coded = classes_of(text)
+            coded = codes_of(text)
             for at in range(0, max(len(coded) - (WINDOW - STRIDE), 1), STRIDE) if len(coded) else ():
                 owners.append(k)
                 starts.append(at)
                 chunks.append(coded[at : at + WINDOW])
-        owner, start, lengths = np.array(owners), np.array(starts), np.array(list(map(len, texts)))
-        over, bound = WINDOW - STRIDE, self.margin() + 1e-3
+        start, lengths, owner = np.array(starts), np.array(list(map(len, texts))), np.array(owners)
+        over = WINDOW - STRIDE
         ramp = (np.arange(1, over + 1) / (over + 1)).astype(self.kind)[:, None]
-        parts: list = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, TAGS), self.kind))]
+        whole: list = []
         tail = np.zeros((1, over, TAGS), self.kind)  # the scores beyond the stride of the window before
         for b in range(0, len(chunks), BLOCK):
             own, k, at = chunks[b : b + BLOCK], owner[b : b + BLOCK], start[b : b + BLOCK]
             sizes = np.array([len(c) for c in own])
             e = np.zeros((len(own), WINDOW, TAGS), self.kind)
             for rows in np.array_split((-sizes).argsort(kind="stable"), -(-len(own) // 1024)):
-                x = np.full((len(rows), int(sizes[rows].max())), PAD)
+                x = np.full((len(rows), int(sizes[rows].max())), END)
                 for i, r in enumerate(rows):
                     x[i, : sizes[r]] = own[r]
                 e[rows, : x.shape[1]] = self.scores(x)
@@ -356,12 +396,17 @@ class Tagger:
             inner = np.flatnonzero(at > 0)
             e[inner, :over] = ramp * e[inner, :over] + (1 - ramp) * before[inner]
             reach = np.where(at + sizes == lengths[k], sizes, STRIDE)
-            row, col = np.nonzero((e[:, :, 0] - e[:, :, 1:].max(2) <= bound) & (np.arange(WINDOW) < reach[:, None]))
-            parts.append((k[row], at[row] + col, e[row, col]))
-        text, place, scores = (np.concatenate(x) for x in zip(*parts, strict=True))
-        cuts = np.flatnonzero((np.diff(text) != 0) | (np.diff(place) != 1)) + 1
-        edges = [0, *cuts.tolist(), len(text)] if len(text) else [0]
-        return [(int(text[i]), int(place[i]), place[i] == 0, place[j - 1] + 1 == lengths[text[i]], scores[i:j]) for i, j in zip(edges, edges[1:], strict=False)]
+            whole.append(e[np.arange(WINDOW) < reach[:, None]])
+        scores, ends = np.concatenate([np.zeros((0, TAGS), self.kind), *whole]), np.cumsum(lengths)
+        place = np.flatnonzero(self.possible(scores, lengths))
+        text = np.searchsorted(ends, place, side="right")
+        cuts = np.flatnonzero((np.diff(place) != 1) | (np.diff(text) != 0)) + 1
+        out = []
+        for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(place)], strict=True) if len(place) else ():
+            k, a, b = text[i], place[i], place[j - 1] + 1
+            begin = ends[k] - lengths[k]
+            out.append((int(k), int(a - begin), a == begin, b == ends[k], scores[a:b]))
+        return out
 
     def spans(self, texts: list[str]) -> list[list[tuple[int, int, int, float]]]:
         """start, kind, end, confidence of the spans of each text."""
@@ -398,6 +443,26 @@ def trained() -> Tagger:
     return tagger
 
 
+def kept(spark: SparkSession) -> Tagger:
+    """trained(), from the weights in the shared folder if a run before has left them there; else they are trained and left there."""
+    made_by = "".join(map(inspect.getsource, (Tagger, labelled_texts, _class, codes_of, holds))) + repr((HIDDEN, STEPS, BATCH, SEED, EXAMPLES, PRECISION, CUT, WINDOW, STRIDE, BUCKETS))
+    path = f"{shared_dir(spark)}/pii-weights-{hashlib.sha256(made_by.encode()).hexdigest()[:24]}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
+        tagger = Tagger()
+        for r in spark.read.parquet(path).collect():
+            if r["name"] == "bar":
+                tagger.bar = r["values"][0]
+            else:
+                tagger.p[r["name"]] = np.array(r["values"], tagger.kind).reshape(r["shape"])
+        return tagger
+    tagger = trained()
+    rows = [(name, list(v.shape), v.astype(float).ravel().tolist()) for name, v in tagger.p.items()]
+    spark.createDataFrame([*rows, ("bar", [1], [float(tagger.bar)])], "name string, shape array<int>, values array<double>").coalesce(1).write.mode("overwrite").parquet(path)
+    return tagger
+
+
 def _added(text: str, base: list[Span], found: list[tuple[int, int, int, float]], bar: float) -> list[Span]:
     """The spans found that overlap none of base and are sure enough."""
     taken = sorted((s, e) for s, _, e in base)
@@ -421,7 +486,7 @@ def find(docs: DataFrame, column: str = "text") -> DataFrame:
     keep = [c for c in docs.columns if c != column and c not in new]
     rows = docs.select(*keep, column)
     schema = rows.selectExpr(*[f"`{c}`" for c in keep], *[f"0L as n_{k}" for k in KINDS], "'' as base_sha256", "'' as spans", "0L as n_added").schema
-    tagger = trained()
+    tagger = kept(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
