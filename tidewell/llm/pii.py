@@ -8,8 +8,8 @@ spans. An added span overlaps no base span, passes the exact test of its kind (h
 that is set on labelled texts held out of the training, where spans above it are right in PRECISION of the cases.
 
 The path is exact although most characters are never searched. The transitions can be moved into
-the scores so that none gains over no span; a span of the best path then can't be on a stretch over which no span leads in
-sum. Two running extrema over a text give all stretches where it doesn't, and only these are decoded.
+the scores so that none gains over no span; a span of the best path then can neither begin nor end with characters over which
+no span leads in sum. Two running extrema over a text tell what can be in a span at all, and only that is decoded.
 
 A character enters the network as the sum of two learned vectors: one of its class, one of the code point itself (ASCII: its
 own; others: of a bucket of code points of its class). The weights are trained once and kept in the shared folder, by a
@@ -312,31 +312,42 @@ class Tagger:
     def possible(self, e: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Where in texts of these lengths, with scores e (time, TAGS) one after the other, a span of the best path can be at all.
 
-        What leaving a tag for no span gains or loses over staying without one is moved to where the tag is entered (out),
-        and the best way into each tag into its scores (into), so that no transition gains over no span. A span from i to j
-        then needs sum(lead) <= enter over i..j: lead is how far no span is ahead, enter <= 0 the best entry from no span.
-        At a text's start a span is entered otherwise, at its end it is not left: both are made up for in the lead there.
+        Scores of transitions can be moved along a path (shift, by tag) and into the tags' scores (into) so that none gains over
+        no span. In one way leaving a span is free: then the rest of a span, from any of its characters on, must not be
+        outscored by no span in sum, or it would end before. In another way entering is free: then the same holds from its
+        start up to any of its characters. A character at which either fails is in no span of the best path.
         """
         t, s = self.p["t"].astype(float), self.p["s"].astype(float)
-        out = t[0, 0] - t[:, 0]
-        at_start = s - out - s[0] + t[0, 0]
-        into = np.maximum((t + out[:, None] - out).max(0), at_start)
-        into[0] = t[0, 0]
-        enter = float((t[0] - out - into)[1:].max())
-        best = e[:, 1] + into[1]
-        for b in range(2, TAGS):
-            np.maximum(best, e[:, b] + into[b], out=best)
         ends = np.cumsum(lengths[lengths > 0])
-        lead = (e[:, 0] + into[0] - best).astype(float)
-        if len(lead):
-            lead[ends - lengths[lengths > 0]] -= max(0.0, float((at_start - into)[1:].max()) - enter)
-            lead[ends - 1] -= max(0.0, float(out.max()))
-        # A long lead between texts keeps their sums apart.
-        apart = np.insert(lead, ends[:-1], 1e6) if len(ends) > 1 else lead
-        total = np.cumsum(apart)
-        before = np.maximum.accumulate(np.concatenate([[0.0], total[:-1]]))
-        mask = np.minimum.accumulate(total[::-1])[::-1] - before <= enter + 1e-3
-        return np.delete(mask, ends[:-1] + np.arange(len(ends) - 1)) if len(ends) > 1 else mask
+        firsts, lasts, gaps = ends - lengths[lengths > 0], ends - 1, ends[:-1]
+
+        def lead(into: np.ndarray) -> np.ndarray:
+            best = e[:, 1] + into[1]
+            for b in range(2, TAGS):
+                np.maximum(best, e[:, b] + into[b], out=best)
+            return (e[:, 0] + into[0] - best).astype(float)
+
+        def sums(x: np.ndarray) -> np.ndarray:  # a long lead between texts keeps their sums apart
+            return np.cumsum(np.insert(x, gaps, 1e6))
+
+        if not len(e):
+            return np.zeros(0, bool)
+        shift = t[0, 0] - t[:, 0]  # leaving is free
+        into = np.maximum((t + shift[:, None] - shift).max(0), s - shift - s[0] + t[0, 0])
+        into[0] = t[0, 0]
+        x = lead(into)
+        x[lasts] -= max(0.0, float(shift.max()))
+        total = sums(x)
+        on = np.minimum.accumulate(total[::-1])[::-1] <= np.concatenate([[0.0], total[:-1]]) + 1e-3
+
+        shift = np.minimum(0, (t[0] - t).min(1))  # entering is free
+        into = t[0] - shift
+        into[0] = t[0, 0]
+        x = lead(into)
+        x[firsts] -= max(0.0, float((s - shift - into)[1:].max() - s[0] + t[0, 0]))
+        total = sums(x)
+        on &= total <= np.maximum.accumulate(np.concatenate([[0.0], total[:-1]])) + 1e-3
+        return np.delete(on, gaps + np.arange(len(gaps)))
 
     def paths(self, stretches: list[np.ndarray], first: list[bool], last: list[bool]) -> list[np.ndarray]:
         """The best tags of stretches of scores. Where a stretch is not at the text's start or end, no span stands before or behind it."""
