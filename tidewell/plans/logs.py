@@ -34,7 +34,7 @@ def ack_retention(log: DataFrame) -> DataFrame:
     return folds.unexpired(folds.ack_state(log), "acked_at", EVENTS_NOW, "20 days").select("event_id", "acked_at")
 
 
-@query("ack_log", "select event_id, seq from ack_log where op = 'ack' and event_id not in (select event_id from ack_log where op = 'store')")
+@query("ack_log", "select event_id, seq from ack_log l where op = 'ack' and not exists (select 1 from ack_log s where s.op = 'store' and s.event_id = l.event_id)")
 def ack_unknown(log: DataFrame) -> DataFrame:
     return folds.unknown(log, "event_id", "store").select("event_id", "seq")
 
@@ -77,7 +77,7 @@ def outbox_by_event_id(log: DataFrame, o: DataFrame) -> DataFrame:
     return folds.outbox_state(log.unionByName(acked).unionByName(failed)).select("id", "status", "last_error", "retry_count")
 
 
-@query("outbox_log", "select id, op from outbox_log where id not in (select id from outbox_log where op = 'store')")
+@query("outbox_log", "select id, op from outbox_log l where not exists (select 1 from outbox_log s where s.op = 'store' and s.id = l.id)")
 def outbox_unknown(log: DataFrame) -> DataFrame:
     """Acks and failures of messages that are not there: the not-found errors."""
     return folds.unknown(log, "id", "store").select("id", "op")
@@ -96,7 +96,7 @@ def queue_state(log: DataFrame) -> DataFrame:
     return folds.queue_state(log)
 
 
-@query("queue_log", "select seq_id, op from queue_log where seq_id not in (select seq_id from queue_log where op = 'append')")
+@query("queue_log", "select seq_id, op from queue_log l where not exists (select 1 from queue_log s where s.op = 'append' and s.seq_id = l.seq_id)")
 def queue_unknown(log: DataFrame) -> DataFrame:
     return folds.unknown(log, "seq_id", "append").select("seq_id", "op")
 

@@ -132,11 +132,35 @@ def leases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("message_id", "seq", "won")
 
 
-QUERIES = {"stream_coalesce": coalesced, "stream_fanout": fanned_out, "stream_dedup": deduplicated, "stream_windowed_rates": windowed_rates, "stream_leases": leases}
+def looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The image of each updated document right after its update, from images in keyed state over batches and restarts."""
+    landed, out, checkpoint = folder(spark), folder(spark), folder(spark)
+    image = F.when(F.col("operation_type").isin("insert", "replace"), F.to_json(F.struct("id", "k")))
+    fields = F.when(F.col("operation_type") == "update", F.when(F.col("no_fields_changed"), "{}").otherwise(F.to_json(F.struct("k"))))
+
+    def run() -> None:
+        stream = change_stream(spark, landed).select(
+            "id", "operation_type", "document_key", F.concat_ws(".", "db", "coll").alias("namespace"), image.alias("full_document"), fields.alias("updated_fields"), F.array().cast("array<string>").alias("removed_fields"),
+            F.lpad(F.unix_micros(F.col("ts").cast("timestamp")).cast("string"), 20, "0").alias("file"), F.col("seq").alias("position"))
+        found = stateful.looked_up(stream).where("operation_type = 'update'")
+        drain(found.select("id", "document_key", F.get_json_object("full_document", "$.id").alias("current_id"), F.get_json_object("full_document", "$.k").cast("long").alias("current_k")), written(out), checkpoint)
+
+    with stateful.state_store(spark):
+        land(_events(spark, sf_dir), "ts", landed, run)
+    return spark.read.schema("id string, document_key string, current_id string, current_k bigint").parquet(f"{out}/*")
+
+
+LOOKED_UP = f"""with {duck('change_events')},
+g as (select *, count(*) filter (operation_type <> 'update') over (partition by coll, document_key order by ts, seq) as life from change_events),
+l as (select *, first_value(operation_type) over w as began, first_value(id) over w as first_id,
+      last_value(case when operation_type <> 'update' or not no_fields_changed then k end ignore nulls) over (partition by coll, document_key, life order by ts, seq) as last_k from g window w as (partition by coll, document_key, life order by ts, seq))
+select id, document_key, case when began in ('insert', 'replace') then first_id end as current_id, case when began in ('insert', 'replace') then last_k end as current_k from l where operation_type = 'update'"""
+QUERIES = {"stream_coalesce": coalesced, "stream_fanout": fanned_out, "stream_dedup": deduplicated, "stream_windowed_rates": windowed_rates, "stream_leases": leases, "stream_update_lookup": looked_up}
 ORACLES = {
     "stream_coalesce": BATCH["coalesce_latest"],
     "stream_fanout": f"with {duck('change_events')} select id, operation_type, r.registered from change_events, (values ('audit'), ('search')) as r(registered)",
     "stream_dedup": f"with {duck('change_events')} select id, document_key from change_events",
     "stream_windowed_rates": f"with {duck('change_events')} select date_trunc('day', ts)::timestamp as start, operation_type, count(*) as n from change_events group by all",
     "stream_leases": BATCH["lease_wins"],
+    "stream_update_lookup": LOOKED_UP,
 }
