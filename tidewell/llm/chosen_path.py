@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import materialize, release
 from .jaccard import ROWS, _hub_pairs, _labelled, _labels, _near_sizes, _pairs, _row_key, _texts, _verified, components, smallest_ids, tokens
 
-COORDINATES, SMALL, DEEPEST, RECALL, BLOCK, FIRST, CHEAP = 64, 128, 5, 0.9999, 1_024, 2, 256
+COORDINATES, SMALL, DEEPEST, RECALL, BLOCK, FIRST, CHEAP, MANY = 64, 128, 5, 0.9999, 1_024, 2, 4_096, 4
 #: Chance that a pair at the bar is apart in more places of its sketch than most_apart() allows.
 SKETCH_MISS = 1e-8
 _SEEDS = np.random.default_rng(13).integers(1 << 63, size=(2, COORDINATES), dtype=np.uint64) | np.uint64(1)
@@ -206,13 +206,16 @@ def linked(docs: DataFrame, n: int = 5, num: int = 85, den: int = 100, n_trees:
         deep = settled.where(F.col("outside") > small)
         cost = settled.groupBy("key").agg(F.max(F.col("outside") * F.col("n")).alias("pairs")).agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
         last = level == deepest or cost <= CHEAP * classes_
-        if last:  # whatever its size; large nodes against their hubs first
-            if deep.limit(1).count():
+        if last:  # whatever its size
+            pairs = materialize(_compared(settled, reps, num, den), "last-pairs")
+            if pairs.count() > MANY * classes_:  # near copies that no hub has connected yet: one pair a member first
+                release(pairs)
                 verify(of_hubs(deep))
                 release(settled)
                 settled = materialize(_settled(still_mixed()), "settled")
-            verify(_compared(settled, reps, num, den))
-            release(settled)
+                pairs = materialize(_compared(settled, reps, num, den), "last-pairs")
+            verify(pairs)
+            release(settled, pairs)
             break
         verify(of_hubs(deep).unionByName(_compared(settled.where(F.col("outside") <= small), reps, num, den)).groupBy("a", "b").agg(F.max("from_a").alias("from_a")))
         release(nodes)
