@@ -1,7 +1,9 @@
 """The corpus pipeline: quality classifier, exact dedup, near-duplicate join, mixing, BPE.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and reread as the next one's
-docs. All but the last return the columns of documents. Null texts are empty ones; an empty table stays empty.
+docs. All but the last return the columns of documents. Null texts are empty ones; an empty table stays empty. Rows
+that repeat count each up to exact dedup, which keeps one; ties are broken as each operator's module says; texts of any length
+are read whole; extra columns come along to the last stage but for names that it gives itself.
 """
 
 from __future__ import annotations
