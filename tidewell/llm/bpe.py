@@ -7,7 +7,8 @@ ranks with the same result. Results per unit (a run of white space and the run o
 units) are kept per task, up to MEMO units.
 
 Defined results: a null text is an empty one: no ids, empty decoded text. Special tokens inside a text become their id.
-Rows that repeat are encoded each. An empty table gives an empty result. Extra columns pass through untouched.
+Rows that repeat are encoded each. Texts of any length are encoded whole, piece by piece.
+An empty table gives an empty result. Extra columns pass through untouched.
 """
 
 from __future__ import annotations

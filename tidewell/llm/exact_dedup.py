@@ -6,7 +6,8 @@ mean equal texts, byte for byte: names are ranks in a sort, not hashes, so nothi
 
 Defined results: a null text is an empty text; empty texts are equal to each other; rows that repeat a doc_id stay
 separate rows, and of rows that tie for the largest doc_id the first of the scan stays (with all columns: of rows that agree
-in doc_id and text too, the one whose columns have the smallest hash); a null doc_id counts as the smallest. An empty table gives an empty result. Other columns pass through drop_exact_duplicates(), whatever their names;
+in doc_id and text too, the one whose columns have the smallest hash); a null doc_id counts as the smallest; long texts are cut in
+blocks and named in as many rounds as it takes. An empty table gives an empty result. Other columns pass through drop_exact_duplicates(), whatever their names;
 exact_duplicates() does not read them.
 """
 

@@ -6,7 +6,8 @@ A source's repetition rate is its target over its words; each document is taken
 a hash of its id, text digest and the seed falls below the fraction. Reruns agree.
 
 Defined results: a null text has no words; a null source is a source of its own, last; repeated rows share one hash
-and are taken alike; a source without words has target 0 and rate 0; an empty table gives an empty result. mix() reads only
+and are taken alike; a source without words has target 0 and rate 0; a text of any
+length is one document, counted whole; an empty table gives an empty result. mix() reads only
 doc_id, source and text; mixed_documents() keeps all columns, whatever their names.
 """
 

@@ -14,7 +14,8 @@ the whole text: characters by class, punctuation, hashed byte trigrams, and word
 
 Defined results: a null text is an empty one and gets the score of its (empty) counts; a null doc_id is not held out;
 rows that repeat score alike; of labels of one doc_id that differ the largest counts; without a usable label of 1 every
-score is 0.5; an empty table gives an empty result. Columns other than doc_id and text are not read. Sums are added in the
+score is 0.5; texts of any length are read
+whole; an empty table gives an empty result. Columns other than doc_id and text are not read. Sums are added in the
 order of the tasks, so reruns over the same splits agree to the last bit.
 """
 

@@ -17,8 +17,8 @@ most HOT segments an anchor.
 
 Rows are told apart by doc_id and a hash of their text, so nothing depends on the order of a scan. Defined results: null
 texts have no words; texts under WINDOW words lose none; rows that repeat a doc_id do not count as smaller than each
-other; a row with a null doc_id is neither smaller nor larger than any, keeps its words and takes none from others; an
-empty table gives an empty result. Columns other than doc_id and text are not read.
+other; a row with a null doc_id is neither smaller nor larger than any, keeps its words and takes none from others; long texts are
+cut in segments that overlap by a window, so all their windows count; an empty table gives an empty result. Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
