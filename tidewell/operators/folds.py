@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.operators import chains
+
 def op(name: str) -> Column:
     return F.col("op") == name
 
@@ -187,15 +189,50 @@ def lease_step(ttl, completion) -> Callable:  # noqa: ANN001
 LEASE = "message_id string, status string, worker_id string, expires_at timestamp_ntz, created_at timestamp_ntz, updated_at timestamp_ntz"
 
 
-def lease_wins(log: DataFrame, ttl, completion) -> DataFrame:  # noqa: ANN001
-    """message_id, seq, won of each attempt to take a lease."""
-    return walk(log, "message_id", ["moment", "seq"], "message_id string, seq bigint, won boolean", lease_step(ttl, completion))
-
+def _lease_chain(rows: DataFrame, ttl, completion) -> DataFrame:  # noqa: ANN001
+    """Of hot keys' entries (chains.split()) those that change a lease: an acquisition that wins; a completion or release of a lease that is there.
 
-def lease_state(log: DataFrame, ttl, completion) -> DataFrame:  # noqa: ANN001
-    """The leases that are there at the end of the log."""
+    What changes a lease next follows from an entry's kind alone: after an acquisition or a completion the first completion or
+    release, or the first acquisition after it has run out; after a release the first acquisition.
+    """
+    kind = F.col("row.op")
+    asked, ends = rows.where(kind == "acquire").select("key", "at"), rows.where(kind != "acquire").select("key", "at")
+    micros = lambda d: d.days * 86_400_000_000 + d.seconds * 1_000_000 + d.microseconds
+    lasts = F.when(kind == "acquire", micros(ttl)).otherwise(micros(completion))
+    out = rows.select("key", F.when(kind == "release", F.col("at")).otherwise(chains.after(lasts)).alias("at"), F.col("at").alias("own"), (kind == "release").alias("free"))
+    again = chains.next_after(out, asked).select("key", F.col("own").alias("at"), "free", F.col("to").alias("again"))
+    ended = chains.next_after(again, ends)
+    to = F.when(F.col("free"), F.col("again")).otherwise(F.least("again", "to"))
+    on = chains.reached(asked.groupBy("key").agg(F.min("at").alias("at")), ended.select("key", "at", to.alias("to")))
+    return chains.table(rows.join(on, ["key", "at"]))
+
+
+def lease_wins(log: DataFrame, ttl, completion, hot_rows: int = chains.HOT_ROWS) -> DataFrame:  # noqa: ANN001
+    """message_id, seq, won of each attempt to take a lease. Keys of hot_rows entries or more are spread over tasks."""
+    cold, rows = chains.split(log, "message_id", "moment", hot_rows)
+    out = walk(cold, "message_id", ["moment", "seq"], "message_id string, seq bigint, won boolean", lease_step(ttl, completion))
+    if rows is None:
+        return out
+    won = _lease_chain(rows, ttl, completion).select("key", "at", F.lit(True).alias("won"))
+    tried = rows.where("row.op = 'acquire'").join(won, ["key", "at"], "left")
+    return out.unionByName(tried.select("row.message_id", "row.seq", F.coalesce("won", F.lit(False)).alias("won")))
+
+
+def lease_state(log: DataFrame, ttl, completion, hot_rows: int = chains.HOT_ROWS) -> DataFrame:  # noqa: ANN001
+    """The leases that are there at the end of the log. Keys of hot_rows entries or more are spread over tasks."""
     step = lease_step(ttl, completion)
-    return walk(log, "message_id", ["moment", "seq"], LEASE, lambda s, r: (step(s, r)[0], []), lambda key, s: [{"message_id": key, **s}] if s else [])
+    cold, rows = chains.split(log, "message_id", "moment", hot_rows)
+    out = walk(cold, "message_id", ["moment", "seq"], LEASE, lambda s, r: (step(s, r)[0], []), lambda key, s: [{"message_id": key, **s}] if s else [])
+    if rows is None:
+        return out
+    changes = _lease_chain(rows, ttl, completion)
+    freed = changes.where("row.op = 'release'").groupBy("key").agg(F.max("at").alias("freed"))
+    live = changes.join(freed, "key", "left").where("freed is null or at > freed")
+    taken = F.col("row.op") == "acquire"
+    last = live.groupBy("key").agg(F.max_by("row", "at").alias("last"), F.max_by("row.worker", F.when(taken, F.col("at"))).alias("worker_id"), F.min_by("row.moment", F.when(taken, F.col("at"))).alias("created_at"))
+    kind, at = F.col("last.op"), F.col("last.moment")
+    ends = at + F.when(kind == "acquire", F.lit(ttl)).otherwise(F.lit(completion))
+    return out.unionByName(last.select(F.col("last.message_id").alias("message_id"), F.when(kind == "acquire", "processing").otherwise("completed").alias("status"), "worker_id", ends.alias("expires_at"), "created_at", at.alias("updated_at")))
 
 
 def reset_stale(leases: DataFrame, as_of: str, older_than: str, keep_rows: bool = False) -> DataFrame:
@@ -207,8 +244,12 @@ def reset_stale(leases: DataFrame, as_of: str, older_than: str, keep_rows: bool
     return leases.withColumns({"status": F.when(stale, "released").otherwise(F.col("status")), "expires_at": F.when(stale, now).otherwise(F.col("expires_at")), "updated_at": F.when(stale, now).otherwise(F.col("updated_at"))})
 
 
-def marked_dedup(log: DataFrame, ttl) -> DataFrame:  # noqa: ANN001
-    """message_id, seq, duplicate of each check in a log of checks and marks; a mark starts the expiry anew, a check only if it is not over."""
+def marked_dedup(log: DataFrame, ttl, hot_rows: int = chains.HOT_ROWS) -> DataFrame:  # noqa: ANN001
+    """message_id, seq, duplicate of each check in a log of checks and marks; a mark starts the expiry anew, a check only if it is not over.
+
+    Keys of hot_rows entries or more are spread over tasks: from every mark, and from a key's first entry, the first check after
+    the expiry follows, and so on, up to the next mark.
+    """
 
     def step(state: dict | None, row: dict) -> tuple[dict | None, list[dict]]:
         again = row["op"] == "check" and state is not None and not state["expires_at"] < row["moment"]
@@ -216,7 +257,19 @@ def marked_dedup(log: DataFrame, ttl) -> DataFrame:  # noqa: ANN001
             state = {"expires_at": row["moment"] + ttl}
         return state, [{"message_id": row["message_id"], "seq": row["seq"], "duplicate": again}] if row["op"] == "check" else []
 
-    return walk(log, "message_id", ["moment", "seq"], "message_id string, seq bigint, duplicate boolean", step)
+    cold, rows = chains.split(log, "message_id", "moment", hot_rows)
+    out = walk(cold, "message_id", ["moment", "seq"], "message_id string, seq bigint, duplicate boolean", step)
+    if rows is None:
+        return out
+    checks, marks = rows.where("row.op = 'check'").select("key", "at"), rows.where("row.op <> 'check'").select("key", "at")
+    micros = ttl.days * 86_400_000_000 + ttl.seconds * 1_000_000 + ttl.microseconds
+    ends = rows.select("key", chains.after(F.lit(micros)).alias("at"), F.col("at").alias("own"))
+    then = chains.next_after(ends, checks).select("key", F.col("own").alias("at"), F.col("to").alias("then"))
+    links = chains.next_after(then, marks).select("key", "at", F.when(F.col("to").isNull() | (F.col("then") < F.col("to")), F.col("then")).alias("to"))
+    heads = marks.unionByName(rows.groupBy("key").agg(F.min("at").alias("at")))
+    first = chains.reached(heads, links).withColumn("first", F.lit(True))
+    tried = rows.where("row.op = 'check'").join(first, ["key", "at"], "left")
+    return out.unionByName(tried.select("row.message_id", "row.seq", F.col("first").isNull().alias("duplicate")))
 
 
 def unexpired(df: DataFrame, column: str, as_of: str, ttl: str | None = None, always: Column | None = None) -> DataFrame:

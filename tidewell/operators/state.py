@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators import chains
+
 
 def at(ts: str):  # noqa: ANN201
     return F.expr(f"timestamp_ntz '{ts}'")
@@ -55,12 +57,26 @@ def acquirable(claims: DataFrame, as_of: str) -> DataFrame:
     return claims.where(F.col("status").isNull() | (F.col("expires_at") < at(as_of)))
 
 
-def ttl_dedup(deliveries: DataFrame, ttl_seconds: int) -> DataFrame:
+def ttl_dedup(deliveries: DataFrame, ttl_seconds: int, hot_rows: int = chains.HOT_ROWS) -> DataFrame:
     """Deliveries accepted: the first of an id, and each that comes after the expiry of the one accepted before.
 
-    The next answer depends on the last accepted time, which no window function carries, so each id is walked in order,
-    batch by batch with one id and one time in hand: memory does not grow with an id's deliveries.
+    The next answer depends on the last accepted time, which no window function carries. Ids of under hot_rows deliveries are
+    walked in order, batch by batch with one id and one time in hand. An id with more is spread: each of its deliveries
+    is linked to the first one after its own expiry, and the links are followed from the id's first delivery.
     """
+    cold, rows = chains.split(deliveries, "message_id", "arrived_at", hot_rows)
+    if rows is None:
+        return _walked(deliveries, ttl_seconds)
+    timed = rows.where(F.col("at.us") < chains.LAST).select("key", "at")  # one without time is accepted only if the id has no others
+    ends = timed.select("key", chains.after(F.lit(ttl_seconds * 1_000_000)).alias("at"), F.col("at").alias("own"))
+    links = chains.next_after(ends, timed).select("key", F.col("own").alias("at"), "to")
+    heads = rows.groupBy("key").agg(F.min("at").alias("at"))
+    accepted = rows.join(chains.reached(heads, links), ["key", "at"]).dropDuplicates(["key", "at"])
+    return _walked(cold, ttl_seconds).unionByName(accepted.select("row.*"))
+
+
+def _walked(deliveries: DataFrame, ttl_seconds: int) -> DataFrame:
+    """ttl_dedup() with one task for all deliveries of an id."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ttl, at_id, last = ttl_seconds * 1_000_000, object(), None

@@ -6,8 +6,6 @@ state carry over batches and restarts.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
@@ -17,21 +15,12 @@ from pyspark.sql import functions as F
 from tidewell.operators import changes, folds
 from tidewell.plans.logs import ORACLES as BATCH
 from tidewell.sources.adapters import duck, sql_text
+from tidewell.sources.shared import folder
 from tidewell.streaming import stateful
 
 SLICES = 3
 
 
-def folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; a temporary one only where that is unset and all runs on one machine, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidewell-")
-    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def land(events: DataFrame, order: str, path: str, run: Callable[[], None], slices: int = SLICES) -> None:
     """events written to path in slices by the timestamp in order, as a feed would land them; run after each of them.
 
