@@ -224,6 +224,14 @@ def plain_base(text):
     return sorted((m.start(), k, m.end()) for k, (p, ok) in enumerate(tests) for m in re.finditer(p, text) if ok(m[0]))
 
 
+def test_components_in_one_task_and_in_many(spark, monkeypatch):
+    r = np.random.default_rng(1)
+    links = spark.createDataFrame([(int(a), int(b)) for a, b in r.integers(0, 120, (70, 2)) if a != b], "a bigint, b bigint")
+    one = sorted(map(tuple, jaccard.components(links).collect()))
+    monkeypatch.setattr(jaccard, "ONE_TASK", 0)
+    assert sorted(map(tuple, jaccard.components(links).collect())) == one and len(one) > 50
+
+
 def test_pii_base_spans_and_held_out_accuracy(spark):
     texts = ["", "a@b.c.@d.e a@b.c_d@e.f x@y", "1.2.3.4.5.6.7.8 256.1.1.1 1.2.3x4.5.6.7", "4111 1111-1111 1111 " * 2, "+1 (555) 123-4567. +12 3", "." * 5000 + "@", "9" * 5000]
     texts += [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]

@@ -11,13 +11,13 @@ makes den / num children on average, and its classes go to a child for each toke
 passage part ways, similar ones stay together; after DEEPEST levels, or as soon as all of it costs no more than CHEAP sketches
 for each class, what is left is compared in blocks, whatever its size.
 
-Large nodes' classes are first verified against one of them (the hub), so a node of near copies gives one pair a member and is
-one component then; the FIRST trees do so ahead of the others. Compared pairs are only formed if their sketches (4 bits of each coordinate) agree in
-so many places as linked sets miss once in 10^8 pairs; all formed pairs are verified on the whole texts' sets.
+Each node's classes are first verified against one of them, the hub: the class that meets the most others over all nodes, so
+near copies have the same hub in all trees, give one pair a member and are one component then. Compared pairs are only formed if their sketches (4 bits of each coordinate) agree in
+so many places as all but one in 10^5 linked pairs at the bar do; all formed pairs are verified on the whole texts' sets.
 
 Recall: a pair of similarity s stays together through k branchings with probability q(k), q(0) = 1, q(k) = 1 - E[(1 - s q(k - 1))^c] for c
 children, so the number of trees is the least that finds a pair at the bar with probability RECALL even on the deepest level.
-Pairs that part on a shallow level, nearly all, are missed with probability (1 - s)^trees: under 10^-11 with 14 trees.
+Pairs that part on a shallow level, nearly all, are missed with probability (1 - s)^trees: under 10^-8 with 11 trees.
 
 Defined results: as of the n-gram Jaccard join: null texts and texts without words have an empty set, link with nothing and
 are their own component; under n words the whole sequence is one shingle; rows that repeat a doc_id count as one node if their
@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 from .common import materialize, release
 from .jaccard import ROWS, _hub_pairs, _labelled, _labels, _near_sizes, _pairs, _row_key, _texts, _verified, components, smallest_ids, tokens
 
-COORDINATES, SMALL, DEEPEST, RECALL, BLOCK, FIRST, CHEAP, MANY = 64, 128, 5, 0.9999, 1_024, 2, 4_096, 4
+COORDINATES, SMALL, DEEPEST, RECALL, BLOCK, CHEAP, MANY = 64, 128, 3, 0.9999, 1_024, 256, 4
 #: Chance that a pair at the bar is apart in more places of its sketch than most_apart() allows.
-SKETCH_MISS = 1e-8
+SKETCH_MISS = 1e-5
 _SEEDS = np.random.default_rng(13).integers(1 << 63, size=(2, COORDINATES), dtype=np.uint64) | np.uint64(1)
 
 
@@ -193,13 +193,11 @@ def linked(docs: DataFrame, n: int = 5, num: int = 85, den: int = 100, n_trees:
         return mixed
 
     def of_hubs(mixed: DataFrame) -> DataFrame:
-        rows = mixed.withColumn("rare", F.xxhash64("key", "id")).join(reps.select("id", "bits"), "id")
-        return _hub_pairs(rows, False, num, den, _near_sketches(num, den))
+        # The class that meets the most others over all nodes is each of its nodes' hub: near copies share one hub, and its pairs.
+        central = mixed.groupBy("id").agg((-F.sum("n")).alias("rare"))
+        return _hub_pairs(mixed.join(central, "id").join(reps.select("id", "bits"), "id"), False, num, den, _near_sketches(num, den))
 
-    # A group of near copies is one component after few trees, and its nodes in the others then need no pair.
-    first = materialize(_labelled(_roots(reps, min(FIRST, n_trees)), None), "first")
-    verify(of_hubs(first))
-    release(first)
+    verify(of_hubs(still_mixed()))
     classes_ = reps.count()
     for level in range(deepest + 1):
         settled = materialize(_settled(still_mixed()), "settled")
