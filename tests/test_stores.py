@@ -73,5 +73,5 @@ def test_observed_lag_is_never_negative(spark):
 
     seen = Observation("changes")
     df = spark.createDataFrame([(datetime(2999, 1, 1),)], "timestamp timestamp_ntz")
-    Metrics.observed(df, seen).collect()
+    Metrics().observed(df, seen).collect()
     assert seen.get["received"] == 1 and seen.get["receive_lag_seconds"] == 0.0

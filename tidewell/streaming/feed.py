@@ -409,13 +409,14 @@ class Metrics:
     def reconnected(self, namespace: str, reason: str) -> None:
         self._add(self.counters, (f"{self.prefix}stream_reconnections_total", namespace, reason), 1)
 
-    def observed(self, events: DataFrame) -> DataFrame:
-        """events with the rows of each lag bucket noted per batch."""
+    def observed(self, events: DataFrame, name: object = NAME) -> DataFrame:
+        """events with their number, the rows of each lag bucket and the largest lag (never below 0) noted per batch."""
         clock = F.unix_micros(F.current_timestamp()) if self.clock is None else F.unix_micros(self.clock.cast("timestamp"))
         lag = (clock - F.unix_micros(F.col("timestamp").cast("timestamp"))) / 1e6
         known = F.col("malformed").isNull() if "malformed" in events.columns else F.lit(True)
         bucket = F.when(known, monitor.bucket(lag, monitor.LAG_BOUNDS))
-        return events.observe(self.NAME, *(F.count_if(bucket == i).alias(f"lag_{i}") for i in range(len(monitor.LAG_BOUNDS) + 1)), F.count_if(~known).alias("malformed"))
+        most = F.max(F.when(known, F.greatest(F.lit(0.0), lag))).alias("receive_lag_seconds")
+        return events.observe(name, F.count_if(known).alias("received"), most, *(F.count_if(bucket == i).alias(f"lag_{i}") for i in range(len(monitor.LAG_BOUNDS) + 1)), F.count_if(~known).alias("malformed"))
 
     def reported(self, row: dict) -> None:
         for i in range(len(monitor.LAG_BOUNDS) + 1):
