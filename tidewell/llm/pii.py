@@ -31,6 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import shared_dir
@@ -43,8 +44,10 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Characters a window and from one to the next in reading, characters a window in training; windows read at once; texts at once.
+#: Characters a window and from one to the next in reading, characters a window in training; windows read at once; most texts at once.
 WINDOW, STRIDE, CUT, BLOCK, ROWS = 512, 480, 64, 1_024, 256
+#: Characters of texts read at once (a longer text is read alone), and characters by rows of stretches searched at once.
+CHARS, AREA = 1 << 18, 1 << 17
 HIDDEN, STEPS, BATCH, SEED, EXAMPLES, PRECISION = 10, 700, 48, 7, 3_000, 0.97
 TAGS = 1 + 2 * len(KINDS)  # 0: none; 1 + 2k: begin of kind k; 2 + 2k: inside of kind k
 # Punctuation marks with a class of their own; then digit, lower, upper, space, line break, other, pad.
@@ -354,8 +357,10 @@ class Tagger:
         t, s = self.p["t"].astype(float), self.p["s"].astype(float)
         out: list = [None] * len(stretches)
         order = sorted(range(len(stretches)), key=lambda i: -len(stretches[i]))
-        for at in range(0, len(order), 1024):
-            own = order[at : at + 1024]
+        at = 0
+        while at < len(order):  # all rows are as long as the first one: the longer it is, the fewer go with it
+            own = order[at : at + max(1, min(1024, AREA // len(stretches[order[at]])))]
+            at += len(own)
             sizes = np.array([len(stretches[i]) for i in own])
             e = np.zeros((sizes[0], len(own), TAGS))
             for k, i in enumerate(own):
@@ -413,26 +418,36 @@ class Tagger:
         text = np.searchsorted(ends, place, side="right")
         cuts = np.flatnonzero((np.diff(place) != 1) | (np.diff(text) != 0)) + 1
         out = []
-        for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(place)], strict=True) if len(place) else ():
-            k, a, b = text[i], place[i], place[j - 1] + 1
-            begin = ends[k] - lengths[k]
-            out.append((int(k), int(a - begin), a == begin, b == ends[k], scores[a:b]))
+        if not len(place):
+            return out
+        i, j = np.append(0, cuts), np.append(cuts, len(place))
+        k, a, b = text[i], place[i], place[j - 1] + 1
+        begin = ends[k] - lengths[k]
+        for own in zip(k.tolist(), (a - begin).tolist(), (a == begin).tolist(), (b == ends[k]).tolist(), a.tolist(), b.tolist(), strict=True):
+            out.append((*own[:4], scores[own[4] : own[5]]))
         return out
 
     def spans(self, texts: list[str]) -> list[list[tuple[int, int, int, float]]]:
         """start, kind, end, confidence of the spans of each text."""
         out: list = [[] for _ in texts]
         found = self.undecided(texts)
-        for (k, at, _, _, e), tags in zip(found, self.paths([f[4] for f in found], [f[2] for f in found], [f[3] for f in found]), strict=True):
-            lead = e[np.arange(len(e)), tags] - np.where(np.arange(TAGS) == tags[:, None], -np.inf, e).max(1)
-            kinds = np.where(tags > 0, (tags - 1) // 2, -1)
-            new = np.append(True, (kinds[1:] != kinds[:-1]) | (tags[1:] % 2 == 1))
-            edges = [*np.flatnonzero(new).tolist(), len(tags)]
-            for i, j in zip(edges, edges[1:], strict=False):
-                piece = texts[k][at + i : at + j]
-                if kinds[i] >= 0 and piece.strip():
-                    lo = at + i + len(piece) - len(piece.lstrip())  # white space at the ends is no part of it
-                    out[k].append((lo, int(kinds[i]), lo + len(piece.strip()), float(lead[i:j].mean())))
+        if not found:
+            return out
+        tags = np.concatenate(self.paths([f[4] for f in found], [f[2] for f in found], [f[3] for f in found]))
+        e, starts = np.concatenate([f[4] for f in found]), np.cumsum([0, *(len(f[4]) for f in found)])
+        lead = e[np.arange(len(e)), tags] - np.where(np.arange(TAGS) == tags[:, None], -np.inf, e).max(1)
+        kinds = np.where(tags > 0, (tags - 1) // 2, -1)
+        new = np.append(True, (kinds[1:] != kinds[:-1]) | (tags[1:] % 2 == 1))
+        new[starts[:-1]] = True
+        edges = np.append(np.flatnonzero(new), len(tags))
+        held = np.flatnonzero(kinds[edges[:-1]] >= 0)
+        for r, f in zip(held.tolist(), (np.searchsorted(starts, edges[held], side="right") - 1).tolist(), strict=True):
+            i, j, (k, at) = int(edges[r]), int(edges[r + 1]), found[f][:2]
+            at -= int(starts[f])
+            piece = texts[k][at + i : at + j]
+            if piece.strip():
+                lo = at + i + len(piece) - len(piece.lstrip())  # white space at the ends is no part of it
+                out[k].append((lo, int(kinds[i]), lo + len(piece.strip()), float(lead[i:j].mean())))
         return out
 
 
@@ -487,6 +502,18 @@ def _added(text: str, base: list[Span], found: list[tuple[int, int, int, float]]
     return out
 
 
+def portions(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Begin and end of the runs of texts of these sizes that are read at once: ROWS texts and CHARS characters at most, or one text."""
+    begin, total = 0, 0
+    for i, n in enumerate(sizes):
+        if i > begin and (i - begin == ROWS or total + n > CHARS):
+            yield begin, i
+            begin, total = i, 0
+        total += n
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
 def written(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
 
@@ -501,8 +528,8 @@ def find(docs: DataFrame, column: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                b = whole.slice(at, ROWS)
+            for at, end in portions(pc.fill_null(pc.binary_length(whole.column(whole.num_columns - 1)), 0).to_pylist()):
+                b = whole.slice(at, end - at)
                 texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
                 base = [base_spans(t) for t in texts]
                 added = [_added(text, own, found, tagger.bar) for text, own, found in zip(texts, base, tagger.spans(texts), strict=True)]
