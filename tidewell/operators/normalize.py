@@ -55,8 +55,11 @@ def normalize(raws: DataFrame, database: str = "", collection: str = "", column:
 
 
 def normalize_binary(raws: DataFrame, database: str = "", collection: str = "", column: str = "raw") -> DataFrame:
-    """Change events of raw changes in their binary form; an event without id gets one made of its canonical text."""
-    return normalize(raws.select(bson.from_bson(F.col(column)).alias("raw")).where("raw is not null"), database, collection)
+    """Change events of raw changes in their binary form; an event without id gets one made of its canonical text.
+
+    Bytes that are no document are null texts, which normalize() leaves out: a filter here would convert all bytes once more.
+    """
+    return normalize(raws.select(bson.from_bson(F.col(column)).alias("raw")), database, collection)
 
 
 def quarantine_binary(raws: DataFrame, column: str = "raw") -> DataFrame:

@@ -135,7 +135,7 @@ def worker_ids(r: DataFrame) -> DataFrame:
 
 
 def binary(r: DataFrame) -> DataFrame:
-    return r.withColumn("raw", F.coalesce(bson.to_bson(F.col("raw")), F.col("raw").cast("binary")))
+    return r.withColumn("raw", bson.to_bson(F.col("raw"), keep=True))
 
 
 TOKEN = "case when token = '' then 'made' else token end"
