@@ -59,7 +59,7 @@ class BsonEnvelope:
         read = df.select(bson.from_bson(F.col("data")).alias("t")).select(F.from_json("t", "id string, source string, payload variant, metadata map<string,string>, timestamp struct<`$date`:struct<`$numberLong`:string>>, retry_count struct<`$numberInt`:string>").alias("m"))
         raw = F.try_variant_get("m.payload", "$['$binary'].base64", "string")
         return read.select(
-            "m.id", "m.source", F.coalesce(F.unbase64(raw), bson.to_bson(F.to_json("m.payload"))).alias("payload"), F.coalesce("m.metadata", F.when(F.col("m.id").isNotNull(), F.create_map().cast("map<string,string>"))).alias("metadata"),
+            "m.id", "m.source", bson.bytes_or_bson(raw, F.to_json("m.payload")).alias("payload"), F.coalesce("m.metadata", F.when(F.col("m.id").isNotNull(), F.create_map().cast("map<string,string>"))).alias("metadata"),
             D.clock_of_millis(F.col("m.timestamp")["$date"]["$numberLong"].cast("long")).alias("timestamp"), F.coalesce(F.col("m.retry_count")["$numberInt"].cast("int"), F.lit(0)).alias("retry_count"))
 
     @staticmethod
