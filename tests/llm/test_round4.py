@@ -2,7 +2,8 @@ import tracemalloc
 
 import numpy as np
 
-from tidewell.llm import pii
+from tidewell.llm import chosen_path, pii
+from tidewell.llm.jaccard import parities
 
 
 def test_pii_memory_of_a_long_stretch_among_short_ones():
@@ -24,3 +25,33 @@ def test_pii_portions_hold_all_texts_in_order_and_few_characters():
     assert [i for a, b in runs for i in range(a, b)] == list(range(len(sizes)))
     assert all(b - a <= pii.ROWS and (b - a == 1 or sum(sizes[a:b]) <= pii.CHARS) for a, b in runs)
     assert list(pii.portions([])) == []
+
+
+def test_chosen_path_forms_few_pairs_of_texts_that_nearly_link(spark, monkeypatch):
+    """Of 100 texts with a similarity of 0.75, 4,950 pairs, hardly one is verified; linked ones among them are found."""
+    formed, verified = [], chosen_path._verified
+    monkeypatch.setattr(chosen_path, "_verified", lambda pairs, *a: formed.append(pairs.count()) or verified(pairs, *a))
+    common = " ".join(f"c{k}" for k in range(110))
+    texts = [common + " " + " ".join(f"o{i}.{k}" for k in range(18)) for i in range(100)]
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[3] + " more", "more " + texts[8]])), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in chosen_path.near_duplicates(docs).collect()}
+    assert got == {**{i: i for i in range(100)}, 100: 3, 101: 8}
+    assert sum(formed) < 150
+
+
+def test_chosen_path_blocks_compare_all_pairs(spark, monkeypatch):
+    """Pairs of a node that is cut in blocks are those that sizes and bits allow, of classes of different components."""
+    r = np.random.default_rng(4)
+    base = np.unique(r.integers(1 << 63, size=200, dtype=np.uint64))
+    sets = [np.unique(np.concatenate([base[r.random(len(base)) > 0.07], r.integers(1 << 63, size=3, dtype=np.uint64)])) for _ in range(60)]
+    bits = [np.concatenate([parities(s), chosen_path.sketch(chosen_path.minwise(s))]).tolist() for s in sets]
+    comp = [i % 20 if i < 40 else i for i in range(60)]
+    outside = sum(c != 0 for c in comp)
+    reps = spark.createDataFrame([(i, bits[i]) for i in range(60)], "id bigint, bits array<bigint>")
+    nodes = spark.createDataFrame([(7, i, len(sets[i]), comp[i], 60, 0, outside) for i in range(60)], "key bigint, id bigint, size bigint, comp bigint, n bigint, main bigint, outside bigint")
+    monkeypatch.setattr(chosen_path, "BLOCK", 16)
+    got = {(x.a, x.b) for x in chosen_path._compared(nodes, reps, 85, 100).collect()}
+    apart = lambda x, y: sum(((a ^ b) % (1 << 64)).bit_count() for a, b in zip(x[:8], y[:8], strict=True))
+    linked = {(a, b) for a in range(60) for b in range(a + 1, 60) if comp[a] != comp[b] and 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))}
+    allowed = {(a, b) for a in range(60) for b in range(a + 1, 60) if comp[a] != comp[b] and apart(bits[a], bits[b]) * 185 <= (len(sets[a]) + len(sets[b])) * 15}
+    assert linked and linked <= got <= allowed

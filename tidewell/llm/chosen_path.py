@@ -13,7 +13,9 @@ for each class, what is left is compared in blocks, whatever its size.
 
 Each node's classes are first verified against one of them, the hub: the class that meets the most others over all nodes, so
 near copies have the same hub in all trees, give one pair a member and are one component then. Compared pairs are only formed if their sketches (4 bits of each coordinate) agree in
-so many places as all but one in 10^5 linked pairs at the bar do; all formed pairs are verified on the whole texts' sets.
+so many places as all but one in 10^5 linked pairs at the bar do, and their parities (BITS bits, as in the n-gram join) differ in no
+more bits than linked sets differ in tokens: of sets under a few hundred tokens that leaves little but links, however many of
+them nearly link. All formed pairs are verified on the whole texts' sets.
 
 Recall: a pair of similarity s stays together through k branchings with probability q(k), q(0) = 1, q(k) = 1 - E[(1 - s q(k - 1))^c] for c
 children, so the number of trees is the least that finds a pair at the bar with probability RECALL even on the deepest level.
@@ -28,6 +30,7 @@ read whole; an empty table gives an empty result. Only doc_id and text are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from math import comb
 
 import numpy as np
@@ -37,9 +40,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, release
-from .jaccard import ROWS, _hub_pairs, _labelled, _labels, _near_sizes, _pairs, _row_key, _texts, _verified, components, smallest_ids, tokens
+from .jaccard import BITS, ROWS, _hub_pairs, _labelled, _labels, _near_bits, _near_sizes, _pairs, _row_key, _texts, _verified, components, parities, smallest_ids, tokens
 
-COORDINATES, SMALL, DEEPEST, RECALL, BLOCK, CHEAP, MANY = 64, 128, 3, 0.9999, 1_024, 256, 4
+COORDINATES, SMALL, DEEPEST, RECALL, BLOCK, CHEAP, MANY = 64, 128, 3, 0.9999, 1_024, 4_096, 4
 #: Chance that a pair at the bar is apart in more places of its sketch than most_apart() allows.
 SKETCH_MISS = 1e-5
 _SEEDS = np.random.default_rng(13).integers(1 << 63, size=(2, COORDINATES), dtype=np.uint64) | np.uint64(1)
@@ -61,6 +64,7 @@ def sketch(coordinates: np.ndarray) -> np.ndarray:
     return (bits << np.arange(0, 64, 4, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
+@lru_cache(maxsize=8)
 def most_apart(num: int, den: int) -> int:
     """In how many coordinates a linked pair's sketches differ at most, but once in 1 / SKETCH_MISS pairs at the bar."""
     p, below = (1 - num / den) * 15 / 16, 0.0
@@ -90,11 +94,11 @@ def trees(num: int, den: int, levels: int = DEEPEST, recall: float = RECALL) ->
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, _r1, _r2, _rid, n_shingles, sig (identity of the set), chosen (minwise tokens), bits (their sketch) of each row."""
+    """doc_id, _r1, _r2, _rid, n_shingles, sig (identity of the set), chosen (minwise tokens), bits (parities, then the sketch) of each row."""
     keep = ["doc_id", "_r1", "_r2", "_rid"]
     rows = _row_key(docs.select("doc_id", "text")).withColumn("_rid", F.monotonically_increasing_id()).select(*keep, "text")
     schema = rows.select(*keep, F.lit(0).cast("long").alias("n_shingles"), F.lit(b"").alias("sig"), F.array(F.lit(0)).alias("chosen"), F.array(F.lit(0).cast("long")).alias("bits")).schema
-    words = COORDINATES // 16
+    words = (BITS + 4 * COORDINATES) // 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -102,7 +106,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                 b = whole.slice(at, ROWS)
                 sets = [tokens(t, n) for t in b.column(4).to_pylist()]
                 chosen = [minwise(s) for s in sets]
-                lists = [pa.ListArray.from_arrays(pa.array(range(0, k * len(sets) + 1, k), pa.int32()), pa.array(np.concatenate(x))) for k, x in ((COORDINATES, [c.view(np.int32) for c in chosen]), (words, [sketch(c) for c in chosen]))]
+                lists = [pa.ListArray.from_arrays(pa.array(range(0, k * len(sets) + 1, k), pa.int32()), pa.array(np.concatenate(x))) for k, x in ((COORDINATES, [c.view(np.int32) for c in chosen]), (words, [x for s, c in zip(sets, chosen, strict=True) for x in (parities(s), sketch(c))]))]
                 sigs = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array([len(s) for s in sets], pa.int64()), sigs, *lists], names=[*keep, "n_shingles", "sig", "chosen", "bits"])
 
@@ -110,13 +114,13 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _near_sketches(num: int, den: int) -> Column:
-    """bits and bits_o differ in no more coordinates than most_apart()."""
+    """The sets (size, bits and size_o, bits_o) may link: no more coordinates differ than most_apart(), and no more parities than tokens may."""
     apart = F.lit(0)
-    for i in range(COORDINATES // 16):
+    for i in range(BITS // 64, (BITS + 4 * COORDINATES) // 64):
         x = F.col("bits")[i].bitwiseXOR(F.col("bits_o")[i])
         half = x.bitwiseOR(F.shiftrightunsigned(x, 1))
         apart = apart + F.bit_count(half.bitwiseOR(F.shiftrightunsigned(half, 2)).bitwiseAND(F.lit(0x1111111111111111)))
-    return apart <= most_apart(num, den)
+    return (apart <= most_apart(num, den)) & _near_bits(num, den)
 
 
 def _roots(reps: DataFrame, n_trees: int) -> DataFrame:
@@ -143,16 +147,57 @@ def _settled(nodes: DataFrame) -> DataFrame:
     return nodes.join(materialize(main, "mains"), "key")
 
 
+def near_pairs(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in x and y (size, comp, bits by row) of the pairs of different components that sizes, parities and sketches allow a link."""
+    (s, of, u), (t, to, v), words = x, y, BITS // 64
+    apart, by_word = np.zeros((len(s), len(t)), np.uint16), np.ascontiguousarray(v[:, :words].T)
+    for at in range(0, len(s), 64):  # so few that they stay in the processor's cache
+        for w in range(words):
+            apart[at : at + 64] += np.bitwise_count(u[at : at + 64, w, None] ^ by_word[w])
+    may = apart <= (s[:, None] + t) * (den - num) // (num + den)
+    may &= (s[:, None] * den >= t * num) & (t * den >= s[:, None] * num) & (of[:, None] != to)
+    i, j = np.nonzero(may)
+    differ = u[i, words:] ^ v[j, words:]
+    differ |= differ >> np.uint64(1)
+    differ |= differ >> np.uint64(2)
+    few = np.bitwise_count(differ & np.uint64(0x1111111111111111)).sum(axis=1) <= most_apart(num, den)
+    return i[few], j[few]
+
+
 def _compared(nodes: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of each class outside its node's main component with all other components of the node, if sizes and sketches allow a link.
+    """Pairs of each class outside its node's main component with all other components of the node, if sizes and bits allow a link.
 
-    A large node's classes are dealt in blocks: each block of asking classes meets all classes of the node.
+    A node's classes are dealt in blocks, and each block of asking classes meets each block of all classes: the asking ones come first.
     """
     marked = nodes.join(reps.select("id", "bits"), "id")
-    asking = marked.where("comp <> main").withColumn("asked_by", F.pmod(F.xxhash64("id"), F.ceil(F.col("outside") / BLOCK)).cast("int")).select("key", "asked_by", "id", "size", "bits", "comp")
-    facing = marked.select("key", F.explode(F.sequence(F.lit(0), F.ceil(F.col("outside") / BLOCK).cast("int") - 1)).alias("asked_by"), F.col("id").alias("other"), F.col("size").alias("size_o"), F.col("bits").alias("bits_o"), F.col("comp").alias("comp_o"))
-    met = asking.join(facing, ["key", "asked_by"])
-    return _pairs(met.where((F.col("comp") != F.col("comp_o")) & _near_sizes("size", "size_o", num, den) & _near_sketches(num, den)), "id")
+    asks, faces = F.ceil(F.col("outside") / BLOCK).cast("int"), F.ceil(F.col("n") / BLOCK).cast("int")
+    own = lambda blocks, salt: F.pmod(F.xxhash64("id", F.lit(salt)), blocks).cast("int")
+    each = lambda blocks: F.explode(F.sequence(F.lit(0), blocks - 1))
+    asking = marked.where("comp <> main").select("key", own(asks, 0).alias("asked"), each(faces).alias("faced"), F.lit(0).alias("faces"), "id", "size", "comp", "bits")
+    facing = marked.select("key", each(asks).alias("asked"), own(faces, 1).alias("faced"), F.lit(1).alias("faces"), "id", "size", "comp", "bits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, first = None, []
+        for b in batches:
+            group = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(4)], 1)
+            edges = [0, *(np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1).tolist(), len(group)]
+            ids, size, comp = (b.column(i).to_numpy() for i in (4, 5, 6))
+            bits = b.column(7).flatten().to_numpy().view(np.uint64).reshape(len(group), -1)
+            left, right = [ids[:0]], [ids[:0]]
+            for i, j in zip(edges[:-1], edges[1:], strict=True) if len(group) else ():
+                *node, faces = group[i].tolist()
+                if node != at:
+                    at, first = node, []
+                if not faces:
+                    first.append((ids[i:j], size[i:j], comp[i:j], bits[i:j]))
+                for asked, *x in first if faces else ():
+                    m, k = near_pairs(tuple(x), (size[i:j], comp[i:j], bits[i:j]), num, den)
+                    left.append(asked[m])
+                    right.append(ids[i:j][k])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["id", "other"])
+
+    rows = asking.unionByName(facing).repartition("key", "asked", "faced").sortWithinPartitions("key", "asked", "faced", "faces")
+    return _pairs(rows.mapInArrow(run, "id bigint, other bigint"), "id")
 
 
 def linked(docs: DataFrame, n: int = 5, num: int = 85, den: int = 100, n_trees: int | None = None, small: int = SMALL, deepest: int = DEEPEST) -> DataFrame:
