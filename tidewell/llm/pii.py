@@ -9,7 +9,8 @@ that is set on labelled texts held out of the training, where spans above it are
 
 The path is exact although most characters are never searched. The transitions can be moved into
 the scores so that none gains over no span; a span of the best path then can neither begin nor end with characters over which
-no span leads in sum. Two running extrema over a text tell what can be in a span at all, and only that is decoded.
+no span leads in sum. Two running extrema over a text tell what can be in a span at all, and of that only stretches are
+decoded that hold an @ or the digits of an ip, without which holds() lets nothing pass.
 
 A character enters the network as the sum of two learned vectors: one of its class, one of the code point itself (ASCII: its
 own; others: of a bucket of code points of its class). The weights are trained once and kept in the shared folder, by a
@@ -298,11 +299,11 @@ class Tagger:
         by_gate = lambda f, b, n: np.stack([f, b]).reshape(2, n, 4, h).transpose(2, 0, 1, 3) * scale
         inner, table = by_gate(self.p["fh"], self.p["bh"], h), (by_gate(self.table("f"), self.table("b"), ALPHABET) + shift).reshape(4, 2 * ALPHABET, h)
         state, cell = np.zeros((2, rows, h), self.kind), np.zeros((2, rows, h), self.kind)
-        out, z = np.empty((2, time, rows, h), self.kind), np.empty((4, 2, rows, h), self.kind)
+        out, z, own = np.empty((2, time, rows, h), self.kind), np.empty((4, 2, rows, h), self.kind), np.empty((4, 2, rows, h), self.kind)
         codes = np.stack([x.T, x.T[::-1] + ALPHABET], 1)
         for t in range(time):
             np.matmul(state, inner, out=z)
-            z += table.take(codes[t], axis=1)
+            z += table.take(codes[t], axis=1, out=own, mode="clip")
             np.clip(z[:3], 0, 1, out=z[:3])
             new = _bend(z[3])
             new *= z[0]
@@ -384,11 +385,15 @@ class Tagger:
                 out[i] = tags[: sizes[k], k].copy()
         return out
 
-    def undecided(self, texts: list[str]) -> list[tuple[int, int, bool, bool, np.ndarray]]:
-        """Of each text the stretches that may hold spans: text, start, whether at its start or end, scores."""
-        owners, starts, chunks = [], [], []
+    def undecided(self, texts: list[str], tested: bool = False) -> list[tuple[int, int, bool, bool, np.ndarray]]:
+        """Of each text the stretches that may hold spans: text, start, whether at its start or end, scores.
+
+        tested: but those with neither an @ nor four digits, in which no span passes holds().
+        """
+        owners, starts, chunks, codes = [], [], [], [np.zeros(0, np.int64)]
         for k, text in enumerate(texts):
             coded = codes_of(text)
+            codes.append(coded)
             for at in range(0, max(len(coded) - (WINDOW - STRIDE), 1), STRIDE) if len(coded) else ():
                 owners.append(k)
                 starts.append(at)
@@ -421,16 +426,21 @@ class Tagger:
         if not len(place):
             return out
         i, j = np.append(0, cuts), np.append(cuts, len(place))
+        if tested:
+            found = np.concatenate(codes)[place]
+            some = lambda x: np.add.reduceat(x, i, dtype=np.int64)
+            may = (some(found == ord("@")) >= 1) | (some((found >= ord("0")) & (found <= ord("9"))) >= 4)
+            i, j = i[may], j[may]
         k, a, b = text[i], place[i], place[j - 1] + 1
         begin = ends[k] - lengths[k]
         for own in zip(k.tolist(), (a - begin).tolist(), (a == begin).tolist(), (b == ends[k]).tolist(), a.tolist(), b.tolist(), strict=True):
             out.append((*own[:4], scores[own[4] : own[5]]))
         return out
 
-    def spans(self, texts: list[str]) -> list[list[tuple[int, int, int, float]]]:
-        """start, kind, end, confidence of the spans of each text."""
+    def spans(self, texts: list[str], tested: bool = False) -> list[list[tuple[int, int, int, float]]]:
+        """start, kind, end, confidence of the spans of each text; tested: some that don't pass holds() are left out."""
         out: list = [[] for _ in texts]
-        found = self.undecided(texts)
+        found = self.undecided(texts, tested)
         if not found:
             return out
         tags = np.concatenate(self.paths([f[4] for f in found], [f[2] for f in found], [f[3] for f in found]))
@@ -532,7 +542,7 @@ def find(docs: DataFrame, column: str = "text") -> DataFrame:
                 b = whole.slice(at, end - at)
                 texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
                 base = [base_spans(t) for t in texts]
-                added = [_added(text, own, found, tagger.bar) for text, own, found in zip(texts, base, tagger.spans(texts), strict=True)]
+                added = [_added(text, own, found, tagger.bar) for text, own, found in zip(texts, base, tagger.spans(texts, tested=True), strict=True)]
                 counts = [pa.array([sum(k == kind for _, k, _ in s) for s in base], pa.int64()) for kind in range(len(KINDS))]
                 digests = pa.array([hashlib.sha256(written(s).encode()).hexdigest() for s in base])
                 spans = pa.array([written([*s, *a]) for s, a in zip(base, added, strict=True)])
