@@ -8,8 +8,9 @@ Independent trees: tree t's root deals all classes by coordinate t, so a node ho
 is done when its classes are one component, or when few of them (SMALL) are outside its main component: those are compared with
 all others of the node. A node that isn't branches: a hash of the node selects one coordinate, or two with the probability that
 makes den / num children on average, and its classes go to a child for each token they choose. Classes that only share a common
-passage part ways, similar ones stay together; after DEEPEST levels, or as soon as all of it costs no more than CHEAP sketches
-for each class, what is left is compared in blocks, whatever its size.
+passage part ways, similar ones stay together; after DEEPEST levels, or as soon as its blocks hold no more than one row for each
+FEW classes, what is left is compared in blocks, whatever its size. A class is sent to SIDE blocks of a node at most, which
+bounds the rows; comparisons of what is left after DEEPEST levels grow with the square of its nodes.
 
 Each node's classes are first verified against one of them, the hub: the class that meets the most others over all nodes, so
 near copies have the same hub in all trees, give one pair a member and are one component then. Compared pairs are only formed if their sketches (4 bits of each coordinate) agree in
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import materialize, release
 from .jaccard import BITS, ROWS, _hub_pairs, _labelled, _labels, _near_bits, _near_sizes, _pairs, _row_key, _texts, _verified, components, parities, smallest_ids, tokens
 
-COORDINATES, SMALL, DEEPEST, RECALL, BLOCK, CHEAP, MANY = 64, 128, 3, 0.9999, 1_024, 4_096, 4
+COORDINATES, SMALL, DEEPEST, RECALL, BLOCK, SIDE, FEW = 64, 128, 3, 0.9999, 1_024, 16, 16
 #: Chance that a pair at the bar is apart in more places of its sketch than most_apart() allows.
 SKETCH_MISS = 1e-5
 _SEEDS = np.random.default_rng(13).integers(1 << 63, size=(2, COORDINATES), dtype=np.uint64) | np.uint64(1)
@@ -164,13 +165,19 @@ def near_pairs(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...], num: int, d
     return i[few], j[few]
 
 
+def _blocks(rows: str) -> Column:
+    """In how many blocks so many rows of a node are dealt: of BLOCK rows, but SIDE blocks at most."""
+    return F.least(F.ceil(F.col(rows) / BLOCK), F.lit(SIDE)).cast("int")
+
+
 def _compared(nodes: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of each class outside its node's main component with all other components of the node, if sizes and bits allow a link.
 
     A node's classes are dealt in blocks, and each block of asking classes meets each block of all classes: the asking ones come first.
+    Within a task BLOCK rows meet BLOCK rows at a time; only the asking block is held.
     """
     marked = nodes.join(reps.select("id", "bits"), "id")
-    asks, faces = F.ceil(F.col("outside") / BLOCK).cast("int"), F.ceil(F.col("n") / BLOCK).cast("int")
+    asks, faces = _blocks("outside"), _blocks("n")
     own = lambda blocks, salt: F.pmod(F.xxhash64("id", F.lit(salt)), blocks).cast("int")
     each = lambda blocks: F.explode(F.sequence(F.lit(0), blocks - 1))
     asking = marked.where("comp <> main").select("key", own(asks, 0).alias("asked"), each(faces).alias("faced"), F.lit(0).alias("faces"), "id", "size", "comp", "bits")
@@ -188,12 +195,14 @@ def _compared(nodes: DataFrame, reps: DataFrame, num: int, den: int) -> DataFram
                 *node, faces = group[i].tolist()
                 if node != at:
                     at, first = node, []
-                if not faces:
-                    first.append((ids[i:j], size[i:j], comp[i:j], bits[i:j]))
-                for asked, *x in first if faces else ():
-                    m, k = near_pairs(tuple(x), (size[i:j], comp[i:j], bits[i:j]), num, den)
-                    left.append(asked[m])
-                    right.append(ids[i:j][k])
+                for cut in (slice(row, min(row + BLOCK, j)) for row in range(i, j, BLOCK)):
+                    met, *rest = ids[cut], size[cut], comp[cut], bits[cut]
+                    if not faces:
+                        first.append((met, *rest))
+                    for asked, *x in first if faces else ():
+                        m, k = near_pairs(tuple(x), tuple(rest), num, den)
+                        left.append(asked[m])
+                        right.append(met[k])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["id", "other"])
 
     rows = asking.unionByName(facing).repartition("key", "asked", "faced").sortWithinPartitions("key", "asked", "faced", "faces")
@@ -218,6 +227,9 @@ def linked(docs: DataFrame, n: int = 5, num: int = 85, den: int = 100, n_trees:
     def verify(pairs: DataFrame) -> None:
         nonlocal links, tried, comps, texts
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.limit(1).count():
+            release(pairs)
+            return
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         more = _texts(docs, rows, ids if texts is None else ids.join(texts.select("id"), "id", "left_anti"))
         texts = more if texts is None else texts.unionByName(more)
@@ -247,18 +259,15 @@ def linked(docs: DataFrame, n: int = 5, num: int = 85, den: int = 100, n_trees:
     for level in range(deepest + 1):
         settled = materialize(_settled(still_mixed()), "settled")
         deep = settled.where(F.col("outside") > small)
-        cost = settled.groupBy("key").agg(F.max(F.col("outside") * F.col("n")).alias("pairs")).agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
-        last = level == deepest or cost <= CHEAP * classes_
-        if last:  # whatever its size
-            pairs = materialize(_compared(settled, reps, num, den), "last-pairs")
-            if pairs.count() > MANY * classes_:  # near copies that no hub has connected yet: one pair a member first
-                release(pairs)
+        in_blocks = F.max(F.col("n") * _blocks("outside") + F.col("outside") * _blocks("n"))
+        left = deep.groupBy("key").agg(in_blocks.alias("rows")).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        if level == deepest or left * FEW <= classes_:  # the last, whatever its size
+            if left:  # near copies that no hub has connected yet: one pair a member first
                 verify(of_hubs(deep))
                 release(settled)
                 settled = materialize(_settled(still_mixed()), "settled")
-                pairs = materialize(_compared(settled, reps, num, den), "last-pairs")
-            verify(pairs)
-            release(settled, pairs)
+            verify(_compared(settled, reps, num, den))
+            release(settled)
             break
         verify(of_hubs(deep).unionByName(_compared(settled.where(F.col("outside") <= small), reps, num, den)).groupBy("a", "b").agg(F.max("from_a").alias("from_a")))
         release(nodes)
